@@ -53,17 +53,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = frequent_texts(rows, "text", parts, rows.count(), sample_rows)
     work = rows.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n"), normalised(F.col("text")).alias("norm"))
     work = work.withColumns({"lead": F.substring("norm", 1, LEAD), "h": F.xxhash64("norm")})
-    salt = F.lit(0)
+    extra = []
     if hot:
         salts = F.broadcast(spark.createDataFrame(hot, "h long, salts int"))
-        work = work.join(salts, "h", "left")
         salt = F.coalesce(F.pmod(F.xxhash64("doc_id", "n"), F.col("salts")), F.lit(0))
-    work = work.withColumn("salt", salt.cast("int")).select("doc_id", "n", "norm", "lead", "h", "salt", *(["salts"] if hot else []))
-    ranged = work.repartitionByRange(parts, "lead", "h", "salt")
-    equal = Window.partitionBy("lead", "h", "salt", "norm")
+        work = work.join(salts, "h", "left").withColumn("salt", salt.cast("int"))
+        extra = ["salt"]
+    # the windows' keys hold the range's, so what the range put together is not dealt again
+    ranged = work.repartitionByRange(parts, "lead", "h", *extra)
+    equal = Window.partitionBy("lead", "h", *extra, "norm")
     ordered = equal.orderBy(F.desc("n"), F.col("doc_id").asc_nulls_last())
     near = ranged.select(
-        "doc_id", F.sha2("norm", 256).alias("text_sha256"), "salt", *(["salts"] if hot else []),
+        "doc_id", F.sha2("norm", 256).alias("text_sha256"), *(["salts"] if hot else []),
         F.first("doc_id").over(ordered).alias("best_id"), F.first("n").over(ordered).alias("best_n"),
         F.count(F.lit(1)).over(equal).alias("members"), F.row_number().over(ordered).alias("rank"),
     )
