@@ -11,14 +11,17 @@ border must never be older than what has been undone.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from array import array
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import appended, arrow_map
+from .shared import appended
 from .words import Splitter, bounded, byte_chars
 
 #: Entries of a worker's cache of pre-tokens, and the longest pre-token that is kept in it.
@@ -52,19 +55,15 @@ class Encoder(dict):
         for t, m in self.marked.items():
             i = self.vocab[t]
             self.length[i] = len(m)
-            self.automaton.add_word(m, i)
-        self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
-
-    def fits(self, a: int, b: int) -> bool:
-        """No merge across the border of a and b comes before the merges that make them."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            known = self.pairs[a, b] = self.border(a, b)
-        return known
+        for t, m in self.marked.items():
+            if self.reachable(i := self.vocab[t]):  # entries that the merges never make end no prefix
+                self.automaton.add_word(m, (i, len(m)))
+        self.automaton.make_automaton()
 
     def border(self, a: int, b: int) -> bool:
+        """Whether a and b fit: no merge across their border comes before the merges that make them."""
         newest = len(self.rank)
         while True:
             across = self.rank.get((a, b))
@@ -112,24 +111,45 @@ class Encoder(dict):
             s = s[:-1] + chr(ord(s[-1]) + END)
         n = len(s)
         last: list[int] = [-1] * (n + 1)
-        length, fits, reachable = self.length, self.fits, self.reachable
-        for at, t in self.automaton.iter(s):
-            stop = at + 1
-            if last[stop] >= 0 or not reachable(t):
+        known, border = self.pairs, self.border
+        for at, (t, size) in self.automaton.iter(s):
+            if last[at + 1] >= 0:
                 continue
-            start = stop - length[t]
-            if start == 0 or (last[start] >= 0 and fits(last[start], t)):
-                last[stop] = t
+            start = at + 1 - size
+            if start:
+                before = last[start]
+                if before < 0:
+                    continue
+                fits = known.get((before, t))
+                if fits is None:
+                    fits = known[before, t] = border(before, t)
+                if not fits:
+                    continue
+            last[at + 1] = t
         out, at = [], n
         while at:
             out.append(last[at])
-            at -= length[last[at]]
+            at -= self.length[last[at]]
         return tuple(out[::-1])
 
     def ids(self, text: str | None) -> list[int]:
         return list(chain.from_iterable(map(self.__getitem__, self.splitter.pieces(text))))
 
 
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """A worker's encoder; it and its cache serve all tasks of the worker."""
+    return Encoder(path)
+
+
+@lru_cache(1)
+def tokens_of(path: str) -> pa.Array:
+    """The tokens by id."""
+    splitter = Splitter(path)
+    by_id = {i: t for t, i in (splitter.model["vocab"] | splitter.special).items()}
+    return pa.array([by_id.get(i, "") for i in range(max(by_id) + 1)], pa.string())
+
+
 def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """docs with the column ``ids_col`` (array<int>): the text's token ids, as the library gives them without begin, end
     or padding tokens and without truncation; special strings inside a text are their special tokens.
@@ -137,13 +157,16 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     Null and empty texts have no tokens (an empty array); repeated rows are encoded each; an empty table gives an empty
     result; a column named ``ids_col`` is replaced. ``vocabulary`` is a path that each executor has.
     """
-    held: dict[str, Encoder] = {}
 
-    def fn(texts: list) -> list[list]:
-        encoder = held.get(vocabulary) or held.setdefault(vocabulary, Encoder(vocabulary))
+    def fn(texts: pa.Array) -> list:
+        encoder = encoder_of(vocabulary)
         bounded(encoder, CACHE)
-        bounded(encoder.pairs, 4 * CACHE)
-        return [[encoder.ids(t) for t in texts]]
+        bounded(encoder.pairs, 2 * CACHE)
+        of, pieces, flat, ends = encoder.__getitem__, encoder.splitter.pieces, array("i"), [0]
+        for t in texts.to_pylist():
+            flat.extend(chain.from_iterable(map(of, pieces(t))))
+            ends.append(len(flat))
+        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))]
 
     return appended(docs, text_col, [(ids_col, "array<int>", pa.list_(pa.int32()))], fn)
 
@@ -151,14 +174,9 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
 def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """docs with the column ``text_col``: the tokens of ``ids_col`` as the library's decode gives them, special tokens
     too. This vocabulary has no decoder, so tokens stay as they are, joined by spaces. Null ids give an empty text."""
-    held: dict[str, dict] = {}
-
-    def fn(rows: list) -> list[list]:
-        if not held:
-            splitter = Splitter(vocabulary)
-            held["t"] = {i: t for t, i in (splitter.model["vocab"] | splitter.special).items()}
-        token = held["t"].__getitem__
-        return [[" ".join(map(token, ids or ())) for ids in rows]]
+
+    def fn(rows: pa.Array) -> list:
+        return [pc.binary_join(pa.ListArray.from_arrays(rows.offsets, tokens_of(vocabulary).take(rows.values)), " ")]
 
     return appended(docs, ids_col, [(text_col, "string", pa.string())], fn)
 

@@ -206,6 +206,13 @@ class Tagger:
         return [self.model.labels[j] if c else UNKNOWN for j, c in zip(best, n)], [float(min(1.0, max(0.0, m[j]))) if c else 0.0 for m, j, c in zip(mean, best, n)]
 
 
+def tagger_of(model: Model) -> Tagger:
+    """A worker's tagger of a broadcast model; it and its cache serve all tasks of the worker."""
+    if not hasattr(model, "tagger"):
+        model.tagger = Tagger(model)
+    return model.tagger
+
+
 def held_out(id_col: Column) -> Column:
     """Rows that are not learned from: crc32 of the id as text, modulo 4, is 2. A null id is not held out."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -233,12 +240,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_col: st
     result; columns named like the new ones are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    held: list[Tagger] = []
 
-    def fn(texts: list) -> list[list]:
-        if not held:
-            held.append(Tagger(shared.value))
-        return list(held[0].languages(texts))
+    def fn(texts: pa.Array) -> list:
+        return list(tagger_of(shared.value).languages(texts.to_pylist()))
 
     return appended(docs, text_col, [(lang_col, "string", pa.string()), (score_col, "double", pa.float64())], fn)
 
@@ -250,7 +254,7 @@ def tag_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        tagger = Tagger(shared.value)
+        tagger = tagger_of(shared.value)
         for b in batches:
             own = [words(t) for t in b.column(1).to_pylist()]
             post, n = tagger.marginals(own)

@@ -47,10 +47,10 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     return df.mapInArrow(fn, schema)
 
 
-def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]], fn: Callable[[list], list[list]]) -> DataFrame:
+def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]], fn: Callable[[pa.Array], list]) -> DataFrame:
     """df with new columns made from one of its columns, row by row.
 
-    out has (name, Spark type, Arrow type); fn takes the column's values of a batch and gives the new columns.
+    out has (name, Spark type, Arrow type); fn takes the column of a batch and gives the new columns, as lists or arrays.
     A column of df with a new column's name is replaced. The column is handed over under its own position, so
     other columns may bear any name, even the same name twice.
     """
@@ -66,8 +66,8 @@ def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = fn(b.column(b.schema.get_field_index("value")).to_pylist())
-            arrays = [pa.array(v, t) for v, t in zip(made, types)]
+            made = fn(b.column(b.schema.get_field_index("value")))
+            arrays = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made, types)]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(head)], *arrays], names=header)
 
     schema = ", ".join([*([f"row {row_type}"] if keep else []), *[f"`{n}` {t}" for n, t, _ in out]])

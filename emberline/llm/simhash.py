@@ -331,8 +331,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs is written once more with its fingerprints; texts are shuffled once, by fingerprint and id, so that copies in
     a large class don't meet in one task. A class without ids keeps one row.
     """
-    def fn(texts: list) -> list[list]:
-        return [np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)]
+    def fn(texts: pa.Array) -> list:
+        return [np.array([fingerprint(t) for t in texts.to_pylist()], np.uint64).view(np.int64)]
 
     keyed = docs.withColumn("__id", F.col(id_col))
     printed = materialise(appended(keyed, text_col, [("__fp", "long", pa.int64())], fn), "sim-docs")
