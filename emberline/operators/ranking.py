@@ -11,7 +11,7 @@ from ..schema import CITIES, CLASS_CAPS, CLASSES, EPOCH, INCIDENTS, PASSES, VEGE
 from .detections import EPISODE
 
 #: Total order of episodes, for ties.
-TIES = [F.col(k) for k in EPISODE]
+TIES = EPISODE
 
 
 def value_counts(df: DataFrame, column: str, most: int | None = None) -> DataFrame:
@@ -35,7 +35,7 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("month_text", F.date_format("start", "yyyy-MM"))
 
 
-def top(df: DataFrame, n: int, by: str = "priority", ties: Sequence[Column] = TIES) -> DataFrame:
+def top(df: DataFrame, n: int, by: str = "priority", ties: Sequence[str] = TIES) -> DataFrame:
     return df.orderBy(F.col(by).desc_nulls_last(), *ties).limit(n)
 
 
