@@ -44,7 +44,9 @@ def near_by_arrays(sites: DataFrame, boxes: DataFrame, categories: Sequence[str]
         first = F.slice(F.array_sort(near), 1, k)
         return F.array_min(F.transform(first, lambda s: F.struct(s["d"].alias("d"), s["cd"].alias("cd"), s["key"].alias("key"), s["name"].alias("name"))))
 
-    both = sites.crossJoin(row)
+    # few rows with much work each: a fixed number of partitions keeps the planner from putting them in one task
+    parts = max(int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions")), sites.sparkSession.sparkContext.defaultParallelism)
+    both = sites.repartition(parts, *[c for c in SITE if c in sites.columns] or ["latitude", "longitude"]).crossJoin(row)
     out = both.withColumns({f"best_{c}": best(c) for c in categories})
     out = with_nearest(out, {c: F.col(f"best_{c}") for c in categories}, named)
     return out.drop(*[f"boxes_{c}" for c in categories], *[f"best_{c}" for c in categories])
