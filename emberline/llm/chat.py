@@ -24,29 +24,30 @@ from .shared import arrow_map, n_parts
 Turn = tuple[str, str]
 Template = Callable[[Sequence[Turn]], str]
 
-#: Marks of the house template, and the character that begins an escape.
+#: Marks of the house template, and the character that breaks a mark.
 OPEN, CLOSE, ESCAPE = "<s>", "</s>", "\\"
 #: Turns that are rendered again with each added turn; longer conversations go on from a checked frame.
 WINDOW = 32
-#: What may not stand in an escaped text.
-CONTROL = re.compile(r"[\\<\[]")
+#: What is followed by ESCAPE in a text or role: ESCAPE itself and whatever a mark or control string could begin with.
+#: So "</s>" becomes "<\\/s>" and "[INST]" becomes "[\\INST]": no control string is left for a tokenizer to find.
+CONTROL = re.compile(r"[\\<\[\]]")
 
 
 def escape(text: str) -> str:
-    """The text with a backslash before each character that could begin a mark (and before each backslash)."""
-    return CONTROL.sub(lambda m: ESCAPE + m[0], text)
+    return CONTROL.sub(lambda m: m[0] + ESCAPE, text)
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.S)
+    return re.sub(r"([\\<\[\]])\\", r"\1", text)
 
 
 def house_template(turns: Sequence[Turn]) -> str:
     """<s>[role] text</s> and a newline for each turn, with role and text escaped."""
-    return "".join([f"{OPEN}[{escape(r).replace(']', ESCAPE + ']')}] {escape(t)}{CLOSE}\n" for r, t in turns])
+    return "".join([f"{OPEN}[{escape(r)}] {escape(t)}{CLOSE}\n" for r, t in turns])
 
 
-_TURN = re.compile(r"<s>\[((?:[^\\\]]|\\.)*)\] ((?:[^\\<]|\\.)*)</s>\n", re.S)
+_BODY = r"((?:[^\\<\[\]]++|[\\<\[\]]\\)*+)"
+_TURN = re.compile(rf"<s>\[{_BODY}\] {_BODY}</s>\n")
 
 
 def parse_house(formatted: str) -> list[Turn]:

@@ -182,8 +182,8 @@ class Tagger:
         """The words' distributions, of all texts in a row, and the number of words of each text."""
         n = np.array([len(t) for t in texts], np.int64)
         flat = [w for t in texts for w in t]
-        if not flat:
-            return np.zeros((0, len(self.model.labels))), n
+        if not flat or not self.model.labels:
+            return np.zeros((len(flat), len(self.model.labels))), n
         at = self.ids(flat)
         first, size = chains(n)
         out = np.empty((len(flat), len(self.model.labels)), np.float32)

@@ -81,7 +81,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(11 + length(role) + length(text)
                 + length(role) - length(translate(role, '\<[]', ''))
-                + length(text) - length(translate(text, '\<[', ''))) AS BIGINT) AS formatted_chars
+                + length(text) - length(translate(text, '\<[]', ''))) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id"""
 
 
