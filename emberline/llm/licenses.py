@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier, calibrated, confirmed by templates.
 
-Paragraphs (lines) are cut in windows of words; each window's sparse word 1- to 3-grams go through a multinomial
+Paragraphs (lines) are cut in windows of words of two widths; each window's sparse word 1- to 3-grams (which ones it has,
+not how often) go through a multinomial
 logistic regression over licence families, ``unknown`` (reads like a licence, but of no family) and ``none``. Its
 probabilities are calibrated by a temperature fitted on examples that the fit did not see. A family is reported only
 if its calibrated probability is high enough and one of its templates is found in the window; a window that reads like
@@ -91,8 +92,9 @@ NONE_LIKE = [
 UNKNOWN, NONE = "unknown", "none"
 #: The bound of the sample of lines for ``none``: rows, lines.
 ROWS, LINES = 200, 2_000
-#: Words of a window and between windows; what a family's probability and its template's share must be at least.
-WINDOW, STRIDE, SURE, CONFIRMED = 64, 32, 0.6, 0.8
+#: Words of the windows (each half covered by the next), distinct word pairs of licence statements that make a paragraph
+#: worth scoring; what a family's probability and its template's share must be at least.
+WINDOWS, CUES, SURE, CONFIRMED = (16, 64), 2, 0.6, 0.8
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -117,6 +119,7 @@ class Model:
     labels: list[str]
     vocab: dict[str, int]
     keys: list[np.ndarray]  # of 1-, 2- and 3-grams, sorted
+    cues: np.ndarray  # the 2-grams of licence statements, sorted
     weights: list[np.ndarray]  # of each key, and a last row of zeros
     bias: np.ndarray
     temperature: float
@@ -140,15 +143,24 @@ class Model:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
-    def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, stops and class probabilities of a paragraph's windows."""
-        starts = np.arange(0, max(1, len(ids) - WINDOW + STRIDE), STRIDE) if len(ids) > WINDOW else np.zeros(1, np.int64)
-        stops = np.minimum(starts + WINDOW, len(ids))
-        sums = np.zeros((len(starts), len(self.labels)))
-        for n, (at, w) in enumerate(zip(self.spots(ids), self.weights), 1):
-            run = np.concatenate([np.zeros((1, w.shape[1])), np.cumsum(w[at], axis=0, dtype=np.float64)])
-            sums += run[np.maximum(stops - n + 1, starts)] - run[starts]
-        return starts, stops, self.probabilities(sums, stops - starts)
+    def cued(self, ids: np.ndarray) -> np.ndarray:
+        """Places of the word pairs of licence statements; none if there are too few kinds."""
+        pairs = ngrams(ids, 2, len(self.vocab) + 1)
+        hit = np.nonzero(self.cues[np.minimum(np.searchsorted(self.cues, pairs), len(self.cues) - 1)] == pairs)[0]
+        return hit if len(np.unique(pairs[hit])) >= CUES else hit[:0]
+
+    def windows(self, ids: np.ndarray, cued: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """The windows with a cue, and their class probabilities."""
+        spots, found = self.spots(ids), []
+        for size in WINDOWS:
+            last = max(0, len(ids) - size // 2 - 1) // (size // 2)
+            found += [(s * size // 2, min(len(ids), s * size // 2 + size)) for s in np.unique(np.concatenate([np.minimum(last, cued // (size // 2)), np.maximum(0, np.minimum(last, cued // (size // 2)) - 1)])).tolist()]
+        found = list(dict.fromkeys(found))
+        sums = np.zeros((len(found), len(self.labels)))
+        for i, (a, b) in enumerate(found):
+            for n, (at, w) in enumerate(zip(spots, self.weights), 1):
+                sums[i] += w[np.unique(at[a : max(a, b - n + 1)])].sum(axis=0)
+        return found, self.probabilities(sums, np.array([b - a for a, b in found]))
 
     def similarity(self, family: str, ids: np.ndarray) -> float:
         """The greatest share of a template's word pairs that are in ids."""
@@ -158,15 +170,16 @@ class Model:
     def scan(self, own: Sequence[str]) -> tuple[str, float, float]:
         """(class, calibrated probability of a licence, similarity) of a paragraph."""
         ids = self.ids(own)
-        if np.count_nonzero(ids) < 2:
+        cued = self.cued(ids)
+        if not len(cued):
             return NONE, 0.0, 0.0
-        starts, stops, p = self.windows(ids)
+        found, p = self.windows(ids, cued)
         licence = 1 - p[:, self.labels.index(NONE)]
         best = (NONE, float(licence.max()), 0.0)
         for at in np.argsort(-licence):
             if licence[at] < 0.5:
                 break
-            part = ids[starts[at] : stops[at]]
+            part = ids[slice(*found[at])]
             order = [j for j in np.argsort(-p[at]) if self.labels[j] not in (NONE, UNKNOWN)]
             family = self.labels[order[0]]
             near = self.similarity(family, part)
@@ -191,25 +204,29 @@ def varied(text: str, rng: np.random.Generator) -> Iterator[str]:
         yield " ".join(fill[:cut] + own + fill[cut:])
 
 
-def fit(lines: Sequence[str], seed: int = 1, steps: int = 300, rate: float = 1.0, weak: float = 1e-4) -> Model:
+def fit(lines: Sequence[str], seed: int = 1, steps: int = 200, rate: float = 1.0, weak: float = 1e-4) -> Model:
     """The model from the templates and a sample of lines that are no licence."""
     rng = np.random.default_rng(seed)
     labels = [*TEMPLATES, UNKNOWN, NONE]
     vocab = {w: i for i, w in enumerate(sorted({w for group in (*TEMPLATES.values(), UNKNOWN_LIKE) for t in group for w in words(t)}), 1)}
-    base, blank = len(vocab) + 1, Model(labels, vocab, [], [], np.zeros(len(labels)), 1.0, {})
+    base, blank = len(vocab) + 1, Model(labels, vocab, [], np.zeros(0, np.int64), [], np.zeros(len(labels)), 1.0, {})
     texts = [(v, labels.index(f)) for f, group in (*TEMPLATES.items(), (UNKNOWN, UNKNOWN_LIKE)) for t in group for v in varied(t, rng)]
     texts += [(v, len(labels) - 1) for t in NONE_LIKE for v in varied(t, rng)]
-    texts += [(x, len(labels) - 1) for x in lines] + [("", len(labels) - 1)] * 20
-    ids = [blank.ids(words(t)[:WINDOW]) for t, _ in texts]
-    keys = [np.unique(np.concatenate([(k := ngrams(x, n, base))[k >= 0] for x in ids])) for n in (1, 2, 3)]
+    stated = len(texts)
+    order = list(vocab)  # the same words in no order, and one word again and again, are no licence
+    texts += [(" ".join(order[j] for j in rng.integers(len(order), size=int(rng.integers(2, 40)))), len(labels) - 1) for _ in range(300)] + [(f"{w} " * 12, len(labels) - 1) for w in order]
+    parts = [words(x)[i : i + size] for x in lines for size in WINDOWS for i in range(0, max(1, len(words(x)) - size // 2), size // 2)][:LINES]
+    texts += [(" ".join(x), len(labels) - 1) for x in parts] + [("", len(labels) - 1)] * 20
+    ids = [blank.ids(words(t)[: max(WINDOWS)]) for t, _ in texts]
+    keys = [np.unique(np.concatenate([(k := ngrams(x, n, base))[k >= 0] for x in ids[:stated]])) for n in (1, 2, 3)]  # features are what statements have
     keys = [k if len(k) else np.array([0]) for k in keys]
     first = np.cumsum([0, *map(len, keys)])
-    x = np.zeros((len(texts), first[-1]))
+    x = np.zeros((len(texts), first[-1]), np.float32)
     for i, own in enumerate(ids):
         for n, k in enumerate(keys, 1):
             found = ngrams(own, n, base)
-            np.add.at(x[i], first[n - 1] + np.searchsorted(k, found[found >= 0]), 1)
-        x[i] /= np.sqrt(max(8, len(words(texts[i][0])[:WINDOW])))
+            x[i, first[n - 1] + np.searchsorted(k, found[np.isin(found, k)])] = 1
+        x[i] /= np.sqrt(max(8, len(own)))
     y = np.array([c for _, c in texts])
     hot, held = np.eye(len(labels))[y], rng.random(len(y)) < 0.25
     share = 1 / np.maximum(1, np.bincount(y[~held], minlength=len(labels)))[y] / len(labels)
@@ -230,15 +247,16 @@ def fit(lines: Sequence[str], seed: int = 1, steps: int = 300, rate: float = 1.0
         s = s - s.max(axis=1, keepdims=True)
         return float(-(s - np.log(np.exp(s).sum(axis=1, keepdims=True)))[np.arange(len(s)), y[held]].mean())
 
-    temperature = float(min(np.geomspace(0.5, 4, 25), key=loss)) if held.any() else 1.0
+    temperature = float(min(np.geomspace(0.1, 4, 41), key=loss)) if held.any() else 1.0
     weights = [np.concatenate([w[first[n] : first[n + 1]], np.zeros((1, len(labels)))]) for n in range(3)]
     templates = {f: [frozenset(ngrams(blank.ids(words(t)), 2, base).tolist()) - {-1} for t in group] for f, group in TEMPLATES.items()}
-    return Model(labels, vocab, keys, weights, b, temperature, templates)
+    cues = np.unique(np.concatenate([ngrams(blank.ids(words(t)), 2, base) for group in (*TEMPLATES.values(), UNKNOWN_LIKE) for t in group]))
+    return Model(labels, vocab, keys, cues[cues >= 0], weights, b, temperature, templates)
 
 
 def learn(docs: DataFrame, text_col: str = "text", rows: int = ROWS, lines: int = LINES) -> Model:
     """Fits the model; lines that share half of a template's word pairs are not taken as ``none``."""
-    plain = fit([])
+    plain = fit([], steps=1)
     some = [r[0] or "" for r in docs.select(F.col(text_col).alias("text")).where(F.length("text") <= 50_000).limit(rows).toLocalIterator()]
     found = []
     for line in (x for t in some for x in t.split("\n")):
