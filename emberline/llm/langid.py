@@ -3,10 +3,12 @@
 States are the languages. A word's features are its character n-grams with marks at both ends (so those that touch a
 mark are its affixes) and its entry in a lexicon of training words. Learned transitions tie neighbouring words; forward
 and backward passes give each word's distribution over the languages, also in texts that switch between them. A text's
-language is the one with the greatest sum over its words, its score the mean over the words.
+language is the one with the greatest sum over its distinct words (each with its mean, so that what a text repeats
+counts once), its score the mean over the distinct words.
 
 The model is fitted on the driver on a bounded sample of labelled rows; spliced chains of several languages are added,
-so that the transitions learn that a text may switch.
+so that the transitions learn that a text may switch. Passages of SHINGLE words that the sample has under more than one
+language (boilerplate) tell nothing and are left out of the fit.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from .shared import appended, arrow_map
 
 #: The bound of the training sample: labelled rows of each language, characters of a row, chains taken from a row.
 ROWS, CHARS, CHAINS = 150, 200_000, 16
+#: Words that show that a passage is shared between languages.
+SHINGLE = 3
 #: Words of a chain, hashed n-gram features, lengths of n-grams, steps of the fit, words in a worker's cache.
 CHAIN, BUCKETS, GRAMS, STEPS, CACHE = 64, 1 << 17, (1, 2, 3, 4), 25, 300_000
 UNKNOWN = "und"
@@ -105,8 +109,7 @@ def fit(texts: Sequence[str], labels: Sequence[str], steps: int = STEPS, seed: i
     """The model from labelled texts, by full-batch steps of AdaGrad on the chains' conditional likelihood."""
     names, rng = sorted(set(labels)), np.random.default_rng(seed)
     pool: dict[str, list[list[str]]] = {x: [] for x in names}
-    for t, x in zip(texts, labels):
-        own = words(t)
+    for own, x in zip(own_words([words(t) for t in texts], labels), labels):
         cut = [own[i : i + CHAIN] for i in range(0, len(own), CHAIN)]
         pool[x] += [cut[i] for i in (rng.permutation(len(cut))[:CHAINS] if len(cut) > CHAINS else range(len(cut)))]
     data = [(c, [names.index(x)] * len(c)) for x in names for c in pool[x]]
@@ -157,6 +160,21 @@ def fit(texts: Sequence[str], labels: Sequence[str], steps: int = STEPS, seed: i
     return model
 
 
+def own_words(texts: list[list[str]], labels: Sequence[str]) -> list[list[str]]:
+    """The texts without the words of passages that are seen under more than one label."""
+    first: dict[tuple, str] = {}
+    shared = set()
+    for own, x in zip(texts, labels):
+        for g in zip(*[own[i:] for i in range(SHINGLE)]):
+            if first.setdefault(g, x) != x:
+                shared.add(g)
+    out = []
+    for own in texts:
+        drop = {i + j for i, g in enumerate(zip(*[own[k:] for k in range(SHINGLE)])) if g in shared for j in range(SHINGLE)}
+        out.append([w for i, w in enumerate(own) if i not in drop])
+    return out
+
+
 class Tagger:
     """Applies a model to batches of texts, with a bounded cache of words' emissions."""
 
@@ -196,12 +214,17 @@ class Tagger:
         return out, n
 
     def languages(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        post, n = self.marginals([words(t) for t in texts])
-        if not self.model.labels:
+        own, k = [words(t) for t in texts], len(self.model.labels)
+        post, n = self.marginals(own)
+        if not k:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        sums = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(post, axis=0, dtype=np.float64)])
-        ends = np.cumsum(n)
-        mean = (sums[ends] - sums[ends - n]) / np.maximum(n, 1)[:, None]
+        text = np.repeat(np.arange(len(texts)), n)
+        at = np.fromiter((self.rows[w] for t in own for w in t), np.int64, len(text))
+        kinds, kind = np.unique(text * len(self.table) + at, return_inverse=True)
+        count = np.bincount(kind, minlength=len(kinds))
+        of = kinds // len(self.table)
+        distinct = np.maximum(1, np.bincount(of, minlength=len(texts)))
+        mean = np.stack([np.bincount(of, np.bincount(kind, post[:, j], len(kinds)) / np.maximum(count, 1), len(texts)) / distinct for j in range(k)], axis=1)
         best = mean.argmax(axis=1)
         return [self.model.labels[j] if c else UNKNOWN for j, c in zip(best, n)], [float(min(1.0, max(0.0, m[j]))) if c else 0.0 for m, j, c in zip(mean, best, n)]
 
