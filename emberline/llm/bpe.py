@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from .shared import appended
 from .words import Splitter, bounded, byte_chars
 
-#: Entries of a worker's cache of pre-tokens, and the longest pre-token that is kept in it.
-CACHE, CACHED_CHARS = 400_000, 64
+#: Entries of a worker's caches of pre-tokens and of pairs, and the longest pre-token that is kept.
+CACHE, PAIRS, CACHED_CHARS = 200_000, 200_000, 64
 #: Added to a character's code where it ends a word.
 END = 0x1000
 
@@ -55,7 +55,7 @@ class Encoder(dict):
         for t, m in self.marked.items():
             i = self.vocab[t]
             self.length[i] = len(m)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
         for t, m in self.marked.items():
             if self.reachable(i := self.vocab[t]):  # entries that the merges never make end no prefix
@@ -120,9 +120,10 @@ class Encoder(dict):
                 before = last[start]
                 if before < 0:
                     continue
-                fits = known.get((before, t))
+                pair = before << 20 | t
+                fits = known.get(pair)
                 if fits is None:
-                    fits = known[before, t] = border(before, t)
+                    fits = known[pair] = border(before, t)
                 if not fits:
                     continue
             last[at + 1] = t
@@ -150,6 +151,21 @@ def tokens_of(path: str) -> pa.Array:
     return pa.array([by_id.get(i, "") for i in range(max(by_id) + 1)], pa.string())
 
 
+def ids_of(texts: pa.Array, vocabulary: str) -> pa.ListArray:
+    encoder = encoder_of(vocabulary)
+    bounded(encoder, CACHE)
+    bounded(encoder.pairs, PAIRS)
+    of, pieces, flat, ends = encoder.__getitem__, encoder.splitter.pieces, array("i"), [0]
+    for t in texts.to_pylist():
+        flat.extend(chain.from_iterable(map(of, pieces(t))))
+        ends.append(len(flat))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+
+
+def texts_of(ids: pa.ListArray, vocabulary: str) -> pa.Array:
+    return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, tokens_of(vocabulary).take(ids.values)), " ")
+
+
 def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """docs with the column ``ids_col`` (array<int>): the text's token ids, as the library gives them without begin, end
     or padding tokens and without truncation; special strings inside a text are their special tokens.
@@ -157,34 +173,28 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     Null and empty texts have no tokens (an empty array); repeated rows are encoded each; an empty table gives an empty
     result; a column named ``ids_col`` is replaced. ``vocabulary`` is a path that each executor has.
     """
-
-    def fn(texts: pa.Array) -> list:
-        encoder = encoder_of(vocabulary)
-        bounded(encoder, CACHE)
-        bounded(encoder.pairs, 2 * CACHE)
-        of, pieces, flat, ends = encoder.__getitem__, encoder.splitter.pieces, array("i"), [0]
-        for t in texts.to_pylist():
-            flat.extend(chain.from_iterable(map(of, pieces(t))))
-            ends.append(len(flat))
-        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))]
-
-    return appended(docs, text_col, [(ids_col, "array<int>", pa.list_(pa.int32()))], fn)
+    return appended(docs, text_col, [(ids_col, "array<int>", pa.list_(pa.int32()))], lambda texts: [ids_of(texts, vocabulary)])
 
 
 def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """docs with the column ``text_col``: the tokens of ``ids_col`` as the library's decode gives them, special tokens
     too. This vocabulary has no decoder, so tokens stay as they are, joined by spaces. Null ids give an empty text."""
+    return appended(docs, ids_col, [(text_col, "string", pa.string())], lambda ids: [texts_of(ids, vocabulary)])
+
 
-    def fn(rows: pa.Array) -> list:
-        return [pc.binary_join(pa.ListArray.from_arrays(rows.offsets, tokens_of(vocabulary).take(rows.values)), " ")]
+def round_trip(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
+    """docs with ``ids`` as of encode and ``decoded`` as of decode, in one pass and one worker for each task."""
+
+    def fn(texts: pa.Array) -> list:
+        ids = ids_of(texts, vocabulary)
+        return [ids, texts_of(ids, vocabulary)]
 
-    return appended(docs, ids_col, [(text_col, "string", pa.string())], fn)
+    return appended(docs, text_col, [("ids", "array<int>", pa.list_(pa.int32())), ("decoded", "string", pa.string())], fn)
 
 
 def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of what encode and decode give."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    both = decode(encode(rows, vocabulary).drop("text"), vocabulary)
+    both = round_trip(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), vocabulary)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

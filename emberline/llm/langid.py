@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ ROWS, CHARS, CHAINS = 150, 200_000, 16
 #: Words that show that a passage is shared between languages.
 SHINGLE = 3
 #: Words of a chain, hashed n-gram features, lengths of n-grams, steps of the fit, words in a worker's cache.
-CHAIN, BUCKETS, GRAMS, STEPS, CACHE = 64, 1 << 17, (1, 2, 3, 4), 25, 300_000
+CHAIN, BUCKETS, GRAMS, STEPS, CACHE = 64, 1 << 17, (1, 2, 3, 4), 25, 150_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -57,7 +58,7 @@ def grams(own: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes)[order].astype(np.int64), np.searchsorted(np.concatenate(owners)[order], np.arange(len(own)))
 
 
-@dataclass
+@dataclass(eq=False)
 class Model:
     labels: list[str]
     grams: np.ndarray  # BUCKETS x labels
@@ -229,11 +230,10 @@ class Tagger:
         return [self.model.labels[j] if c else UNKNOWN for j, c in zip(best, n)], [float(min(1.0, max(0.0, m[j]))) if c else 0.0 for m, j, c in zip(mean, best, n)]
 
 
+@lru_cache(1)
 def tagger_of(model: Model) -> Tagger:
-    """A worker's tagger of a broadcast model; it and its cache serve all tasks of the worker."""
-    if not hasattr(model, "tagger"):
-        model.tagger = Tagger(model)
-    return model.tagger
+    """A worker's tagger of a broadcast model; it and its cache serve all tasks of the worker, until another model comes."""
+    return Tagger(model)
 
 
 def held_out(id_col: Column) -> Column:
