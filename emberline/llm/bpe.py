@@ -183,13 +183,13 @@ def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str
 
 
 def round_trip(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
-    """docs with ``ids`` as of encode and ``decoded`` as of decode, in one pass and one worker for each task."""
+    """docs without its text, with ``ids`` as of encode and ``decoded`` as of decode, in one pass and one worker for each task."""
 
     def fn(texts: pa.Array) -> list:
         ids = ids_of(texts, vocabulary)
         return [ids, texts_of(ids, vocabulary)]
 
-    return appended(docs, text_col, [("ids", "array<int>", pa.list_(pa.int32())), ("decoded", "string", pa.string())], fn)
+    return appended(docs, text_col, [("ids", "array<int>", pa.list_(pa.int32())), ("decoded", "string", pa.string())], fn, keep=False)
 
 
 def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -47,33 +47,31 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     return df.mapInArrow(fn, schema)
 
 
-def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]], fn: Callable[[pa.Array], list]) -> DataFrame:
-    """df with new columns made from one of its columns, row by row.
+def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]], fn: Callable[[pa.Array], list], keep: bool = True) -> DataFrame:
+    """df with new columns made from one of its columns, row by row; without that column if keep is false.
 
     out has (name, Spark type, Arrow type); fn takes the column of a batch and gives the new columns, as lists or arrays.
-    A column of df with a new column's name is replaced. The column is handed over under its own position, so
-    other columns may bear any name, even the same name twice.
+    A column of df with a new column's name is replaced. Columns go through the workers under their positions, so they
+    may bear any name; the column itself goes there once.
     """
-    names = {n for n, _, _ in out}
-    at = df.columns.index(column)
+    names, at = {n for n, _, _ in out}, df.columns.index(column)
     inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    source = F.col(f"c{at}").alias("value")
-    keep = [F.col(f"c{i}") for i, c in enumerate(df.columns) if c not in names]
-    rows = inner.select(F.struct(*keep).alias("row"), source) if keep else inner.select(source)
-    row_type = rows.schema["row"].dataType.simpleString() if keep else None
-    types, head = [t for _, _, t in out], ["row"] if keep else []
-    header = [*head, *[n for n, _, _ in out]]
+    others = [i for i, c in enumerate(df.columns) if c not in names and i != at]
+    stays = keep and column not in names
+    rows = inner.select(F.col(f"c{at}").alias("value"), *([F.struct(*[F.col(f"c{i}") for i in others]).alias("row")] if others else []))
+    types, passed = [t for _, _, t in out], [*(["value"] if stays else []), *(["row"] if others else [])]
+    first = 0 if stays else 1
+    header = [*passed, *[n for n, _, _ in out]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = fn(b.column(b.schema.get_field_index("value")))
-            arrays = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made, types)]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(head)], *arrays], names=header)
-
-    schema = ", ".join([*([f"row {row_type}"] if keep else []), *[f"`{n}` {t}" for n, t, _ in out]])
-    done = arrow_map(rows, run, schema)
-    fields = [F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(df.columns) if c not in names]
-    return done.select(*fields, *[F.col(n) for n, _, _ in out])
+            arrays = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(fn(b.column(0)), types)]
+            yield pa.RecordBatch.from_arrays([*b.columns[first:], *arrays], names=header)
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    done = arrow_map(rows, run, ", ".join([*[f"{n} {kinds[n]}" for n in passed], *[f"`{n}` {t}" for n, t, _ in out]]))
+    own = {i: F.col("row")[f"c{i}"] for i in others} | ({at: F.col("value")} if stays else {})
+    return done.select(*[own[i].alias(df.columns[i]) for i in sorted(own)], *[F.col(f"`{n}`") for n, _, _ in out])
 
 
 def utf8(text: str | None) -> bytes:
