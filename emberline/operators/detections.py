@@ -49,12 +49,17 @@ def with_cells(df: DataFrame, step: float = CELL_DEG) -> DataFrame:
 
 
 def with_episodes(df: DataFrame, gap: int = GAP_DAYS) -> DataFrame:
-    """episode_seq: a gap of more than ``gap`` days at a site begins an episode, from 0. One shuffle by site serves
-    this and every later aggregation by site or episode."""
+    """episode_seq: a gap of more than ``gap`` days at a site begins an episode, from 0. Also the episode's first day
+    (episode_start) and 1 in one row of each of a site's days (new_night). One shuffle and one sort by site and day serve
+    all three and every later aggregation by site or episode."""
     days = Window.partitionBy(*SITE).orderBy("acq_date")
-    begins = F.when(F.datediff("acq_date", F.lag("acq_date").over(days)) > gap, 1).otherwise(0)
     upto = days.rangeBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("begins", begins).withColumn("episode_seq", F.sum("begins").over(upto).cast("int")).drop("begins")
+    since = F.col("since")
+    begins = F.coalesce(since > gap, F.lit(True))
+    return df.withColumn("since", F.datediff("acq_date", F.lag("acq_date").over(days))).withColumns({
+        "episode_seq": (F.count_if(begins).over(upto) - 1).cast("int"), "episode_start": F.max(F.when(begins, F.col("acq_date"))).over(upto),
+        "new_night": F.coalesce(since > 0, F.lit(True)).cast("int"),
+    }).drop("since")
 
 
 def episodes_by_window(df: DataFrame, gap: int = GAP_DAYS) -> DataFrame:
@@ -66,12 +71,12 @@ def episodes_by_window(df: DataFrame, gap: int = GAP_DAYS) -> DataFrame:
 
 
 def episode_features(df: DataFrame) -> DataFrame:
-    first = Window.partitionBy(*EPISODE)
-    df = df.withColumn("x", F.datediff("acq_date", F.min("acq_date").over(first)))
+    """Needs the columns of with_episodes."""
+    df = df.withColumn("x", F.datediff("acq_date", "episode_start"))
     out = df.groupBy(*EPISODE).agg(
         mean_coordinate("latitude").alias("latitude"), mean_coordinate("longitude").alias("longitude"),
         F.min("acq_date").alias("start"), F.max("acq_date").alias("end"),
-        F.count(F.lit(1)).alias("n_detections"), F.countDistinct("acq_date").alias("n_nights"),
+        F.count(F.lit(1)).alias("n_detections"), F.sum("new_night").alias("n_nights"),
         F.max("frp").alias("frp_max"), F.avg("frp").alias("frp_mean"), F.coalesce(F.sum("frp"), F.lit(0.0)).alias("frp_sum"), F.stddev_samp("frp").alias("frp_std"),
         F.max("bright_ti4").alias("ti4_max"), F.avg("bright_ti4").alias("ti4_mean"), F.avg("bright_ti5").alias("ti5_mean"),
         F.avg(F.col("is_night").cast("int")).alias("night_ratio"), mean_share("confidence").alias("confidence"), slope("x", "frp").alias("frp_trend"),
@@ -83,10 +88,10 @@ def episode_features(df: DataFrame) -> DataFrame:
 
 
 def site_features(df: DataFrame) -> DataFrame:
-    """Needs episode_seq: the site's episodes are its distinct numbers, so no join back is needed."""
+    """Needs the columns of with_episodes: the site's episodes are its distinct numbers, so no join back is needed."""
     out = df.groupBy(*SITE).agg(
         mean_coordinate("latitude").alias("latitude"), mean_coordinate("longitude").alias("longitude"),
-        F.countDistinct("acq_date").alias("site_nights"), F.count(F.lit(1)).alias("site_detections"),
+        F.sum("new_night").alias("site_nights"), F.count(F.lit(1)).alias("site_detections"),
         F.min("acq_date").alias("site_first"), F.max("acq_date").alias("site_last"),
         F.avg("frp").alias("site_frp_mean"), F.max("frp").alias("site_frp_max"), F.stddev_samp("frp").alias("site_frp_std"),
         F.avg(F.col("is_night").cast("int")).alias("site_night_ratio"), (F.max("episode_seq") + 1).cast("bigint").alias("site_episodes"),

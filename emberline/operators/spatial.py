@@ -33,12 +33,12 @@ def with_nearest(df: DataFrame, best: dict[str, Column], named: Sequence[str]) -
 
 def near_by_arrays(sites: DataFrame, boxes: DataFrame, categories: Sequence[str], named: Sequence[str], k: int) -> DataFrame:
     fields = ["latitude", "longitude", "min_lat", "min_lon", "max_lat", "max_lon", "key", "name"]
-    per = [F.collect_list(F.when(F.col("category") == c, F.struct(*fields))).alias(f"boxes_{c}") for c in categories]
-    row = F.broadcast(boxes.agg(*per))
+    per = [F.collect_list(F.when(F.col("category") == c, F.struct(*fields))) for c in categories]
+    row = F.broadcast(boxes.agg(F.array(*per).alias("__boxes")))
     lat, lon = F.col("latitude"), F.col("longitude")
 
-    def best(c: str) -> Column:
-        near = F.transform(F.col(f"boxes_{c}"), lambda f: F.struct(
+    def best(own: Column) -> Column:
+        near = F.transform(own, lambda f: F.struct(
             metres(lat, lon, f["latitude"], f["longitude"]).alias("cd"), f["key"].alias("key"),
             box_metres(lat, lon, f["min_lat"], f["min_lon"], f["max_lat"], f["max_lon"]).alias("d"), f["name"].alias("name")))
         first = F.slice(F.array_sort(near), 1, k)
@@ -47,9 +47,10 @@ def near_by_arrays(sites: DataFrame, boxes: DataFrame, categories: Sequence[str]
     # few rows with much work each: a fixed number of partitions keeps the planner from putting them in one task
     parts = max(int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions")), sites.sparkSession.sparkContext.defaultParallelism)
     both = sites.repartition(parts, *[c for c in SITE if c in sites.columns] or ["latitude", "longitude"]).crossJoin(row)
-    out = both.withColumns({f"best_{c}": best(c) for c in categories})
-    out = with_nearest(out, {c: F.col(f"best_{c}") for c in categories}, named)
-    return out.drop(*[f"boxes_{c}" for c in categories], *[f"best_{c}" for c in categories])
+    # one expression over an array of the categories' boxes: the plan doesn't grow with the categories
+    out = both.withColumn("__best", F.transform("__boxes", best))
+    out = with_nearest(out, {c: F.col("__best")[i] for i, c in enumerate(categories)}, named)
+    return out.drop("__boxes", "__best")
 
 
 def near_by_buckets(sites: DataFrame, boxes: DataFrame, categories: Sequence[str], named: Sequence[str], k: int, step: float = 0.25) -> DataFrame:
