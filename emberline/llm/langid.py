@@ -36,7 +36,11 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """Runs of letters and marks of number other than digits, in lower case; a run without a letter (a fraction) is no word."""
+    if not text:
+        return []
+    found = WORD.findall(text.lower())
+    return found if text.isascii() else [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams(own: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import arrow_map, materialise, n_parts, utf8
+from .shared import arrow_map, materialise, quoted, utf8
 
 #: Keys with fewer code points are left alone.
 MIN_CHARS = 10
@@ -180,7 +180,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     except that null becomes empty. An empty table gives an empty result.
     """
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
-    docs = docs.select(*[c for c in docs.columns if c not in counts])
+    docs = docs.select(*[quoted(c) for c in docs.columns if c not in counts])
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     index, shards, n = build_index(rows, least, shard_keys)
     at_text, at_id = docs.columns.index(text_col), docs.columns.index(id_col)

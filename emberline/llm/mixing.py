@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import arrow_map, materialise
+from .shared import arrow_map, materialise, named
 
 #: Bits of a bucket at each level; the last level's buckets hold 2**-48 of a source.
 LEVELS = (12, 12, 12, 12)
@@ -145,7 +145,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The documents that the mix takes, with all their columns, each as often as it is taken."""
     plan = mix_plan(sized(docs, id_col, source_col, text_col)).select("source", "repeats", "prefix")
-    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(source_col).alias("s"), F.col(id_col).alias("doc_id")).withColumn("h", hashed())
+    keyed = docs.select(F.struct(*named(docs)).alias("row"), F.col(source_col).alias("s"), F.col(id_col).alias("doc_id")).withColumn("h", hashed())
     both = keyed.join(F.broadcast(plan), F.col("s").eqNullSafe(F.col("source")))
     often = both.select("row", F.explode(F.array_repeat(F.lit(1), copies())))
     return often.select("row.*")

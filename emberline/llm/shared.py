@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..shipping import ship
 
@@ -79,5 +79,24 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8")
 
 
+def named(df: DataFrame) -> list[Column]:
+    """df's columns, whatever characters are in their names."""
+    return [quoted(c) for c in df.columns]
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as it takes to be no column of df (in any case of letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def n_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import appended, arrow_map, materialise, n_parts, utf8
+from .shared import appended, arrow_map, materialise, n_parts, named, quoted, unused, utf8
 
 #: Words of a shingle, seed of its XXH64, differing bits of a link.
 WORDS, SEED, RADIUS = 4, 42, 4
@@ -293,7 +293,7 @@ def links(prints: DataFrame, distinct: int, masks: list[int] | None = None, part
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, root for each node of edges (u > v), root the smallest node of its component: large-star / small-star.
 
     A round is two aggregations and two joins; each is written to the shared folder and the rounds end when one
@@ -301,7 +301,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     sign = lambda e: e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
     last = sign(edges)
-    for _ in range(rounds if last.n else 0):
+    while last.n:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
@@ -320,9 +320,9 @@ def classes(printed: DataFrame, parts: int | None = None, chunk: int = CHUNK) ->
     the class), from rows of doc_id and fp."""
     nodes = materialise(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "sim-nodes")
     roots = components(links(nodes.select("fp"), nodes.count(), parts=parts, chunk=chunk))
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return materialise(named.join(ids, "root").select("fp", "least", "root", "component_id"), "sim-classes")
+    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return materialise(rooted.join(ids, "root").select("fp", "least", "root", "component_id"), "sim-classes")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -334,13 +334,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def fn(texts: pa.Array) -> list:
         return [np.array([fingerprint(t) for t in texts.to_pylist()], np.uint64).view(np.int64)]
 
-    keyed = docs.withColumn("__id", F.col(id_col))
-    printed = materialise(appended(keyed, text_col, [("__fp", "long", pa.int64())], fn), "sim-docs")
-    of = classes(printed.select(F.col("__id").alias("doc_id"), F.col("__fp").alias("fp")))
+    id_, fp, key_ = unused(docs, "__id", "__fp", "__key")
+    keyed = docs.withColumn(id_, quoted(id_col))
+    printed = materialise(appended(keyed, text_col, [(fp, "long", pa.int64())], fn), "sim-docs")
+    of = classes(printed.select(F.col(id_).alias("doc_id"), F.col(fp).alias("fp")))
     best = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", "fp"))
-    chosen = of.groupBy("root").agg(best.alias("best")).select(F.col("best.fp").alias("__fp"), key(F.col("best.least")).alias("__key"))
-    kept = printed.withColumn("__key", key(F.col("__id"))).join(chosen, ["__fp", "__key"]).dropDuplicates(["__fp", "__key"])
-    return kept.select(*docs.columns)
+    chosen = of.groupBy("root").agg(best.alias("best")).select(F.col("best.fp").alias(fp), key(F.col("best.least")).alias(key_))
+    kept = printed.withColumn(key_, key(F.col(id_))).join(chosen, [fp, key_]).dropDuplicates([fp, key_])
+    return kept.select(*named(docs))
 
 
 def key(id_: Column) -> Column:

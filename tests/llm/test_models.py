@@ -194,3 +194,10 @@ def test_words_counted_in_bytes(spark):
     want = [0, 0, 0, 1, 3, 2, 0, 1]
     assert mixing.count_words(pa.array(texts, pa.string())).tolist() == want
     assert mixing.count_words(pa.array(["zz z", *texts], pa.string()).slice(1)).tolist() == want
+
+
+def test_language_needs_a_letter(spark):
+    model = langid.fit(["the old house and the river", "la vieille maison et la forêt"], ["en", "fr"])
+    docs = spark.createDataFrame([(1, "½ ² Ⅷ 12"), (2, "½ house"), (3, "…")], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
+    assert got[1] == got[3] == (langid.UNKNOWN, 0.0) and got[2][0] == "en"

@@ -60,7 +60,7 @@ def test_pipeline_on_documents(spark):
 
 
 def test_pipeline_on_hard_rows(spark):
-    check(spark, frame(spark, ROWS, ("__note", "h")))
+    check(spark, frame(spark, ROWS, ("__note", "h", "row", "a.b", "__id", "__fp", "__key", "__lang", "__lines")))
 
 
 def test_pipeline_on_an_empty_table(spark):
