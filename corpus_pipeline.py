@@ -12,19 +12,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberline.llm import bpe, langid, lines, mixing, simhash
 from emberline.llm.queries import VOCABULARY
-from emberline.llm.shared import materialise
+from emberline.llm.shared import materialise, named, unused
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be read (null texts, texts without a letter) go; a missing lang is filled in."""
-    told = langid.identify(docs, langid.learn(docs), lang_col="__lang", score_col="__score").where(F.col("__lang") != langid.UNKNOWN)
-    return told.withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns)
+    lang, score = unused(docs, "__lang", "__score")
+    told = langid.identify(docs, langid.learn(docs), lang_col=lang, score_col=score).where(F.col(lang) != langid.UNKNOWN)
+    return told.withColumn("lang", F.coalesce("lang", lang)).select(*named(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds go; n_chars follows the text."""
-    left = lines.dedup_lines(docs, counts=("__lines", "__dropped"))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    left = lines.dedup_lines(docs, counts=tuple(unused(docs, "__lines", "__dropped")))
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*named(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
