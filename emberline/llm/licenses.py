@@ -1,8 +1,8 @@
 """Licence scans: a trained paragraph classifier, calibrated, confirmed by templates.
 
-Paragraphs (lines) are cut in windows of words of two widths; each window's sparse word 1- to 3-grams (which ones it has,
-not how often) go through a multinomial
-logistic regression over licence families, ``unknown`` (reads like a licence, but of no family) and ``none``. Its
+Paragraphs (lines) are cut in windows of words of two widths, and so are the running words of lines that no blank line
+parts, as statements are often wrapped. Each window's sparse word 1- to 3-grams (which ones it has, not how often) go
+through a multinomial logistic regression over licence families, ``unknown`` (reads like a licence, but of no family) and ``none``. Its
 probabilities are calibrated by a temperature fitted on examples that the fit did not see. A family is reported only
 if its calibrated probability is high enough and one of its templates is found in the window; a window that reads like
 a licence but isn't confirmed is ``unknown``.
@@ -92,10 +92,12 @@ NONE_LIKE = [
 UNKNOWN, NONE = "unknown", "none"
 #: The bound of the sample of lines for ``none``: rows, lines.
 ROWS, LINES = 200, 2_000
-#: Words of the windows (each half covered by the next), distinct word pairs of licence statements that make a paragraph
-#: worth scoring; what a family's probability and its template's share must be at least.
+#: Words of the windows (each half covered by the next), distinct word pairs of licence statements that make a line or
+#: block of lines worth scoring; what a family's probability and its template's share must be at least.
 WINDOWS, CUES, SURE, CONFIRMED = (16, 64), 2, 0.6, 0.8
-WORD = re.compile(r"[^\W_]+")
+#: Words scored together, unless one text has more; windows scored together.
+TOGETHER, STEP = 200_000, 16_384
+WORD, TOKEN = re.compile(r"[^\W_]+"), re.compile(r"[^\W_]+|\n")
 
 
 def words(text: str) -> list[str]:
@@ -114,6 +116,22 @@ def ngrams(ids: np.ndarray, n: int, base: int) -> np.ndarray:
     return np.concatenate([np.where(known, key, -1), np.full(n - 1, -1, np.int64)])
 
 
+def ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """lo[i], lo[i] + 1, ... of n[i] numbers, for each i."""
+    return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def cut(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the windows of both widths over the given stretches of words, each window once."""
+    a, b = [], []
+    for i, size in enumerate(WINDOWS):
+        s, e = (x[ends - starts > (WINDOWS[i - 1] if i else 0)] for x in (starts, ends))  # else one window of the narrower width is all
+        n = np.maximum(0, e - s - size // 2 - 1) // (size // 2) + 1
+        a.append(np.repeat(s, n) + ranges(np.zeros_like(n), n) * (size // 2))
+        b.append(np.minimum(a[-1] + size, np.repeat(e, n)))
+    return np.concatenate(a), np.concatenate(b)
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -129,13 +147,15 @@ class Model:
         get = self.vocab.get
         return np.fromiter((get(w, 0) for w in own), np.int64, len(own))
 
-    def spots(self, ids: np.ndarray) -> list[np.ndarray]:
-        """For each n, the row of weights of the n-gram at each place."""
-        out = []
+    def spots(self, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each n, the places of the n-grams that are features, and their rows in the joined weights."""
+        out, first = [], 0
         for n, keys in enumerate(self.keys, 1):
             found = ngrams(ids, n, len(self.vocab) + 1)
             at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-            out.append(np.where(keys[at] == found, at, len(keys)))
+            where = np.nonzero(keys[at] == found)[0]
+            out.append((where, first + at[where]))
+            first += len(keys) + 1
         return out
 
     def probabilities(self, sums: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -143,51 +163,112 @@ class Model:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
-    def cued(self, ids: np.ndarray) -> np.ndarray:
-        """Places of the word pairs of licence statements; none if there are too few kinds."""
+    def cued(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which stretches of words have enough kinds of the word pairs of licence statements."""
         pairs = ngrams(ids, 2, len(self.vocab) + 1)
         hit = np.nonzero(self.cues[np.minimum(np.searchsorted(self.cues, pairs), len(self.cues) - 1)] == pairs)[0]
-        return hit if len(np.unique(pairs[hit])) >= CUES else hit[:0]
-
-    def windows(self, ids: np.ndarray, cued: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
-        """The windows with a cue, and their class probabilities."""
-        spots, found = self.spots(ids), []
-        for size in WINDOWS:
-            last = max(0, len(ids) - size // 2 - 1) // (size // 2)
-            found += [(s * size // 2, min(len(ids), s * size // 2 + size)) for s in np.unique(np.concatenate([np.minimum(last, cued // (size // 2)), np.maximum(0, np.minimum(last, cued // (size // 2)) - 1)])).tolist()]
-        found = list(dict.fromkeys(found))
-        sums = np.zeros((len(found), len(self.labels)))
-        for i, (a, b) in enumerate(found):
-            for n, (at, w) in enumerate(zip(spots, self.weights), 1):
-                sums[i] += w[np.unique(at[a : max(a, b - n + 1)])].sum(axis=0)
-        return found, self.probabilities(sums, np.array([b - a for a, b in found]))
+        lo, hi = np.searchsorted(hit, starts), np.searchsorted(hit, ends - 1)
+        return np.array([len(np.unique(pairs[hit[x:y]])) >= CUES for x, y in zip(lo, hi)], bool)
+
+    def licence(self, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The calibrated probability of a licence of each window, and its class probabilities; 0 without a feature."""
+        spots, joined = self.spots(ids), np.concatenate(self.weights)
+        chance, p = np.zeros(len(a)), np.zeros((len(a), len(self.labels)))
+        for at in range(0, len(a), STEP):
+            s, e = a[at : at + STEP], b[at : at + STEP]
+            found = []
+            for n, (where, row) in enumerate(spots, 1):
+                lo = np.searchsorted(where, s)
+                many = np.maximum(0, np.searchsorted(where, e - n, side="right") - lo)
+                found.append(np.repeat(np.arange(len(s)), many) * len(joined) + row[ranges(lo, many)])
+            window, row = np.divmod(np.unique(np.concatenate(found)), len(joined))
+            if not len(window):
+                continue
+            first = np.nonzero(np.diff(window, prepend=-1))[0]
+            own, sums = window[first], np.add.reduceat(joined[row], first, axis=0)
+            p[at + own] = self.probabilities(sums, (e - s)[own])
+            chance[at + own] = 1 - p[at + own, self.labels.index(NONE)]
+        return chance, p
 
     def similarity(self, family: str, ids: np.ndarray) -> float:
         """The greatest share of a template's word pairs that are in ids."""
-        own = set(ngrams(ids, 2, len(self.vocab) + 1).tolist())
-        return max((len(t & own) / len(t) for t in self.templates[family]), default=0.0)
-
-    def scan(self, own: Sequence[str]) -> tuple[str, float, float]:
-        """(class, calibrated probability of a licence, similarity) of a paragraph."""
-        ids = self.ids(own)
-        cued = self.cued(ids)
-        if not len(cued):
-            return NONE, 0.0, 0.0
-        found, p = self.windows(ids, cued)
-        licence = 1 - p[:, self.labels.index(NONE)]
-        best = (NONE, float(licence.max()), 0.0)
-        for at in np.argsort(-licence):
-            if licence[at] < 0.5:
-                break
-            part = ids[slice(*found[at])]
-            order = [j for j in np.argsort(-p[at]) if self.labels[j] not in (NONE, UNKNOWN)]
-            family = self.labels[order[0]]
-            near = self.similarity(family, part)
-            if p[at, order[0]] / licence[at] >= SURE and near >= CONFIRMED:
-                return family, float(licence[at]), near
-            if best[0] == NONE:
-                best = (UNKNOWN, float(licence[at]), near)
-        return best
+        return self.nearest(family, ngrams(ids, 2, len(self.vocab) + 1))[0]
+
+    def nearest(self, family: str, pairs: np.ndarray) -> tuple[float, frozenset[int]]:
+        own = set(pairs.tolist())
+        return max(((len(t & own) / len(t), t) for t in self.templates[family]), key=lambda x: x[0], default=(0.0, frozenset()))
+
+    def confirmed(self, ids: np.ndarray, a: int, b: int, chance: float, p: np.ndarray) -> Iterator[tuple[str, float, float, int, int]]:
+        """(family, probability, similarity, begin and end of what the template matches) of a window that reads like a licence."""
+        pairs = ngrams(ids[a:b], 2, len(self.vocab) + 1)
+        at = max((j for j, label in enumerate(self.labels) if label not in (NONE, UNKNOWN)), key=lambda j: p[j])
+        near, template = self.nearest(self.labels[at], pairs)
+        if p[at] / chance >= SURE and near >= CONFIRMED:
+            where = np.nonzero(np.isin(pairs, list(template)))[0]
+            yield self.labels[at], chance, near, a + int(where[0]), a + int(where[-1]) + 2
+
+    def scan(self, texts: Sequence[str]) -> list[tuple[int, float, list[dict]]]:
+        """(paragraphs, greatest probability of a licence, hits) of each text."""
+        get, parts = {**self.vocab, "\n": -1}.get, []
+        for text in texts:
+            own = TOKEN.findall(text.lower())
+            parts += [np.fromiter((get(w, 0) for w in own), np.int64, len(own)), np.array([-1, -1])]
+        codes = np.concatenate([*parts, np.zeros(0, np.int64)])
+        word = codes >= 0
+        ids, number = codes[word], np.cumsum(~word)[word]
+        text_of = np.repeat(np.arange(len(texts)), [len(x) + 2 for x in parts[::2]])[word]
+        starts = np.nonzero(np.diff(number, prepend=-1))[0]  # of the lines with a word
+        ends = np.append(starts[1:], len(ids))[: len(starts)]
+        line_of, owner = np.repeat(np.arange(len(starts)), ends - starts), text_of[starts]
+        heads = np.nonzero(np.diff(number[starts], prepend=-2) > 1)[0]  # lines that begin a block: one line or more, no blank one among them
+        last = np.append(heads[1:], len(starts))[: len(heads)] - 1
+        wrapped = last > heads
+        counts = np.bincount(owner, minlength=len(texts))
+        before = np.cumsum(counts) - counts
+        out: list[tuple[int, float, list[dict]]] = [(int(n), 0.0, []) for n in counts]
+        cued, cued_block = self.cued(ids, starts, ends), self.cued(ids, starts[heads[wrapped]], ends[last[wrapped]])
+        a, b = cut(starts[cued], ends[cued])
+        across = cut(starts[heads[wrapped]][cued_block], ends[last[wrapped]][cued_block])
+        more = line_of[across[0]] != line_of[across[1] - 1]
+        a, b, crosses = np.concatenate([a, across[0][more]]), np.concatenate([b, across[1][more]]), np.repeat([False, True], [len(a), more.sum()])
+        chance, p = self.licence(ids, a, b)
+        top = np.zeros(len(texts))
+        np.maximum.at(top, text_of[a], chance)
+        some = np.nonzero(chance >= 0.5)[0]
+        some = some[np.lexsort((-chance[some], crosses[some], text_of[a[some]]))]  # of each text its lines first, then what crosses them
+        for group in np.split(some, np.nonzero(np.diff(text_of[a[some]]))[0] + 1):
+            if len(group):
+                at = int(text_of[a[group[0]]])
+                hits = self.hits(ids, line_of, [(int(a[i]), int(b[i]), float(chance[i]), p[i]) for i in group])
+                out[at] = (out[at][0], float(top[at]), [{"paragraph": line - int(before[at]), "family": f, "probability": round(q, 6), "similarity": round(near, 6)} for line, f, q, near in hits])
+        return [(n, float(t), hits) for (n, _, hits), t in zip(out, top)]
+
+    def hits(self, ids: np.ndarray, line_of: np.ndarray, windows: list[tuple[int, int, float, np.ndarray]]) -> list[tuple[int, str, float, float]]:
+        """(line, class, probability, similarity) from a text's windows that read like a licence, best first, those in one
+        line before those across lines. A statement is told of the line it begins in, and the lines it takes aren't unknown."""
+        told: list[tuple[int, str, float, float]] = []
+        spans: list[tuple[str, int, int]] = []
+        taken: set[int] = set()
+        for a, b, chance, p in windows:
+            for family, q, near, first, end in self.confirmed(ids, a, b, chance, p):
+                line = int(line_of[first])
+                if line_of[a] == line_of[b - 1]:
+                    new = line not in taken
+                else:
+                    new = not any(f == family and first < y and x < end for f, x, y in spans)
+                if new and not any(f == family and line == at for at, f, *_ in told):
+                    told.append((line, family, q, near))
+                spans.append((family, first, end))
+                taken.update(range(line, int(line_of[end - 1]) + 1))
+        for a, b, chance, p in windows:
+            lines = range(int(line_of[a]), int(line_of[b - 1]) + 1)
+            if taken.isdisjoint(lines):
+                family = max((j for j, label in enumerate(self.labels) if label not in (NONE, UNKNOWN)), key=lambda j: p[j])
+                known = np.nonzero(ngrams(ids[a:b], 2, len(self.vocab) + 1) >= 0)[0]
+                line = int(line_of[a + int(known[0])]) if len(known) else lines[0]
+                told.append((line, UNKNOWN, chance, self.similarity(self.labels[family], ids[a:b])))
+                taken.update(lines)
+        return sorted(told, key=lambda x: x[0])
 
 
 def varied(text: str, rng: np.random.Generator) -> Iterator[str]:
@@ -254,24 +335,61 @@ def fit(lines: Sequence[str], seed: int = 1, steps: int = 200, rate: float = 1.0
     return Model(labels, vocab, keys, cues[cues >= 0], weights, b, temperature, templates)
 
 
+def blocks(text: str) -> Iterator[list[str]]:
+    """The text's lines, those together that no line without a word parts; such lines alone."""
+    held: list[str] = []
+    for line in text.split("\n"):
+        if WORD.search(line):
+            held.append(line)
+            continue
+        if held:
+            yield held
+        yield [line]
+        held = []
+    if held:
+        yield held
+
+
 def learn(docs: DataFrame, text_col: str = "text", rows: int = ROWS, lines: int = LINES) -> Model:
-    """Fits the model; lines that share half of a template's word pairs are not taken as ``none``."""
+    """Fits the model; lines that share half of a template's word pairs, alone or with the lines they run on with, are not
+    taken as ``none``."""
     plain = fit([], steps=1)
     some = [r[0] or "" for r in docs.select(F.col(text_col).alias("text")).where(F.length("text") <= 50_000).limit(rows).toLocalIterator()]
     found = []
-    for line in (x for t in some for x in t.split("\n")):
-        if len(found) < lines and not any(plain.similarity(f, plain.ids(words(line))) >= 0.5 for f in TEMPLATES):
-            found.append(line)
+    for block in (x for t in some for x in blocks(t)):
+        if len(found) >= lines:
+            break
+        own = [plain.ids(words(line)) for line in block]
+        line_of = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        ids = np.concatenate(own)
+        stated = {k for k, x in enumerate(own) if any(plain.similarity(f, x) >= 0.5 for f in TEMPLATES)}
+        for a, b in zip(*cut(np.array([0]), np.array([len(ids)]))) if len(own) > 1 else ():
+            if line_of[a] != line_of[b - 1] and any(plain.similarity(f, ids[a:b]) >= 0.5 for f in TEMPLATES):
+                stated.update(line_of[a:b].tolist())
+        found += [line for k, line in enumerate(block) if k not in stated]
+    found = found[:lines]
     return fit(found)
 
 
+def scanned(model: Model, texts: Sequence[str | None]) -> Iterator[tuple[int, float, list[dict]]]:
+    """Model.scan of all texts, of some at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text or "")
+        size += len(held[-1])
+        if size > 6 * TOGETHER:
+            yield from model.scan(held)
+            held, size = [], 0
+    yield from model.scan(held)
+
+
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_paragraphs, n_licences, licences, n_unknown, score, hits for each row.
 
     licences: the confirmed families, each once, in order of their first paragraph; n_unknown: paragraphs that read
     like a licence of no confirmed family; score: the greatest calibrated probability of a licence; hits: paragraph,
     family, probability and template similarity of each paragraph that is not ``none``. A paragraph is a line with a
-    word. Null and empty texts have none; repeated rows are scanned each; an empty table gives an empty result; other
+    word; a statement that is wrapped over lines is a hit of the one it begins in, and ends at a line without words. Null and empty texts have none; repeated rows are scanned each; an empty table gives an empty result; other
     columns of docs are ignored.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -283,17 +401,7 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         m = shared.value
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
-            for text in b.column(1).to_pylist():
-                hits, count, top = [], 0, 0.0
-                for line in (text or "").split("\n"):
-                    own = words(line)
-                    if not own:
-                        continue
-                    count += 1
-                    family, p, near = m.scan(own)
-                    top = max(top, p)
-                    if family != NONE:
-                        hits.append({"paragraph": count - 1, "family": family, "probability": round(p, 6), "similarity": round(near, 6)})
+            for count, top, hits in scanned(m, b.column(1).to_pylist()):
                 families = list(dict.fromkeys(h["family"] for h in hits if h["family"] != UNKNOWN))
                 unknown = sum(h["family"] == UNKNOWN for h in hits)
                 for column, v in zip(out, (count, len(hits) - unknown, ",".join(families), unknown, round(top, 6), hits)):

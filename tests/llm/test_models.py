@@ -201,3 +201,30 @@ def test_language_needs_a_letter(spark):
     docs = spark.createDataFrame([(1, "½ ² Ⅷ 12"), (2, "½ house"), (3, "…")], "doc_id long, text string")
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
     assert got[1] == got[3] == (langid.UNKNOWN, 0.0) and got[2][0] == "en"
+
+
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify and merge.",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+    "gpl": " * This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License, or",
+    "cc-by": "This work is licensed under a Creative\r\nCommons Attribution 4.0\r\nInternational License.",
+}
+
+
+def test_license_wrapped_over_lines(spark, scanner):
+    rows = [(i, f"A heading\n\n{text}\n\nThe end.", None, None, None) for i, text in enumerate(WRAPPED.values())]
+    rows += [(50, "Released under the MIT\n\nLicense.", None, None, None), (51, f"{'zorp quil vant ' * 60}\n{WRAPPED['bsd']}", None, None, None)]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, rows), scanner).collect()}
+    for i, (family, text) in enumerate(WRAPPED.items()):
+        r = got[i]
+        assert (r.licences, r.n_licences, r.n_unknown, r.hits[0].paragraph) == (family, 1, 0, 1) and r.n_paragraphs == 3 + text.count("\n"), (family, r)
+    assert got[50].licences == "" and got[50].n_paragraphs == 2
+    assert got[51].licences == "bsd" and got[51].hits[0].paragraph == 1
+
+
+def test_license_counter_examples_are_not_wrapped_statements(spark):
+    text = "\n\n".join(WRAPPED.values()) + "\n\na plain line\nand one more"
+    docs = frame(spark, [(1, text, None, None, None)])
+    assert [x for t in [text] for x in licenses.blocks(t)][-1] == ["a plain line", "and one more"]
+    r = licenses.scan(docs, licenses.learn(docs)).first()
+    assert r.licences == "mit,bsd,gpl,cc-by", r
