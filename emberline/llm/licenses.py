@@ -92,9 +92,9 @@ NONE_LIKE = [
 UNKNOWN, NONE = "unknown", "none"
 #: The bound of the sample of lines for ``none``: rows, lines.
 ROWS, LINES = 200, 2_000
-#: Words of the windows (each half covered by the next), distinct word pairs of licence statements that make a line or
-#: block of lines worth scoring; what a family's probability and its template's share must be at least.
-WINDOWS, CUES, SURE, CONFIRMED = (16, 64), 2, 0.6, 0.8
+#: Words of the windows (each half covered by the next), what a family's probability and its template's share must be at
+#: least.
+WINDOWS, SURE, CONFIRMED = (16, 64), 0.6, 0.8
 #: Words scored together, unless one text has more; windows scored together.
 TOGETHER, STEP = 200_000, 16_384
 WORD, TOKEN = re.compile(r"[^\W_]+"), re.compile(r"[^\W_]+|\n")
@@ -137,7 +137,6 @@ class Model:
     labels: list[str]
     vocab: dict[str, int]
     keys: list[np.ndarray]  # of 1-, 2- and 3-grams, sorted
-    cues: np.ndarray  # the 2-grams of licence statements, sorted
     weights: list[np.ndarray]  # of each key, and a last row of zeros
     bias: np.ndarray
     temperature: float
@@ -163,13 +162,6 @@ class Model:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
-    def cued(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Which stretches of words have enough kinds of the word pairs of licence statements."""
-        pairs = ngrams(ids, 2, len(self.vocab) + 1)
-        hit = np.nonzero(self.cues[np.minimum(np.searchsorted(self.cues, pairs), len(self.cues) - 1)] == pairs)[0]
-        lo, hi = np.searchsorted(hit, starts), np.searchsorted(hit, ends - 1)
-        return np.array([len(np.unique(pairs[hit[x:y]])) >= CUES for x, y in zip(lo, hi)], bool)
-
     def licence(self, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The calibrated probability of a licence of each window, and its class probabilities; 0 without a feature."""
         spots, joined = self.spots(ids), np.concatenate(self.weights)
@@ -226,9 +218,8 @@ class Model:
         counts = np.bincount(owner, minlength=len(texts))
         before = np.cumsum(counts) - counts
         out: list[tuple[int, float, list[dict]]] = [(int(n), 0.0, []) for n in counts]
-        cued, cued_block = self.cued(ids, starts, ends), self.cued(ids, starts[heads[wrapped]], ends[last[wrapped]])
-        a, b = cut(starts[cued], ends[cued])
-        across = cut(starts[heads[wrapped]][cued_block], ends[last[wrapped]][cued_block])
+        a, b = cut(starts, ends)
+        across = cut(starts[heads[wrapped]], ends[last[wrapped]])
         more = line_of[across[0]] != line_of[across[1] - 1]
         a, b, crosses = np.concatenate([a, across[0][more]]), np.concatenate([b, across[1][more]]), np.repeat([False, True], [len(a), more.sum()])
         chance, p = self.licence(ids, a, b)
@@ -290,7 +281,7 @@ def fit(lines: Sequence[str], seed: int = 1, steps: int = 200, rate: float = 1.0
     rng = np.random.default_rng(seed)
     labels = [*TEMPLATES, UNKNOWN, NONE]
     vocab = {w: i for i, w in enumerate(sorted({w for group in (*TEMPLATES.values(), UNKNOWN_LIKE) for t in group for w in words(t)}), 1)}
-    base, blank = len(vocab) + 1, Model(labels, vocab, [], np.zeros(0, np.int64), [], np.zeros(len(labels)), 1.0, {})
+    base, blank = len(vocab) + 1, Model(labels, vocab, [], [], np.zeros(len(labels)), 1.0, {})
     texts = [(v, labels.index(f)) for f, group in (*TEMPLATES.items(), (UNKNOWN, UNKNOWN_LIKE)) for t in group for v in varied(t, rng)]
     texts += [(v, len(labels) - 1) for t in NONE_LIKE for v in varied(t, rng)]
     stated = len(texts)
@@ -331,8 +322,7 @@ def fit(lines: Sequence[str], seed: int = 1, steps: int = 200, rate: float = 1.0
     temperature = float(min(np.geomspace(0.1, 4, 41), key=loss)) if held.any() else 1.0
     weights = [np.concatenate([w[first[n] : first[n + 1]], np.zeros((1, len(labels)))]) for n in range(3)]
     templates = {f: [frozenset(ngrams(blank.ids(words(t)), 2, base).tolist()) - {-1} for t in group] for f, group in TEMPLATES.items()}
-    cues = np.unique(np.concatenate([ngrams(blank.ids(words(t)), 2, base) for group in (*TEMPLATES.values(), UNKNOWN_LIKE) for t in group]))
-    return Model(labels, vocab, keys, cues[cues >= 0], weights, b, temperature, templates)
+    return Model(labels, vocab, keys, weights, b, temperature, templates)
 
 
 def blocks(text: str) -> Iterator[list[str]]:

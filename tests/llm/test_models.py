@@ -228,3 +228,27 @@ def test_license_counter_examples_are_not_wrapped_statements(spark):
     assert [x for t in [text] for x in licenses.blocks(t)][-1] == ["a plain line", "and one more"]
     r = licenses.scan(docs, licenses.learn(docs)).first()
     assert r.licences == "mit,bsd,gpl,cc-by", r
+
+
+def plain_chance(m, text):
+    """The greatest probability of a licence over the windows of each line, without any gate."""
+    base, joined, best = len(m.vocab) + 1, [dict(zip(k.tolist(), w)) for k, w in zip(m.keys, m.weights)], 0.0
+    for line in text.split("\n"):
+        ids = [m.vocab.get(w, 0) for w in licenses.words(line)]
+        for size in licenses.WINDOWS:
+            for a in range(0, max(1, len(ids) - size // 2), size // 2):
+                own, z = ids[a : a + size], m.bias.copy()
+                found = {(n, sum(x * base ** (n - 1 - j) for j, x in enumerate(g))) for n in (1, 2, 3) for i in range(len(own) - n + 1) if all(g := own[i : i + n])}
+                hit = [joined[n - 1][k] for n, k in found if k in joined[n - 1]]
+                z = (z + sum(hit, 0 * z) / math.sqrt(max(8, len(own)))) / m.temperature
+                p = np.exp(z - z.max())
+                best = max(best, 1 - (p / p.sum())[m.labels.index(licenses.NONE)]) if hit else best
+    return best
+
+
+def test_license_scores_every_line(spark, scanner):
+    texts = ["MIT License", "BSD License", "License: MIT", "Released under GPL", "the terms of a person and the public software", "zorp quil", f"{'the quil vant ' * 30} license\n\nthe mit gpl license bsd"]
+    got = licenses.scan(frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), scanner).collect()
+    for r in got:
+        assert abs(r.score - plain_chance(scanner, texts[r.doc_id])) < 2e-6, (texts[r.doc_id], r)
+    assert max(r.score for r in got if r.doc_id < 2) > 0.001 and got[5].score == 0
