@@ -13,6 +13,7 @@ The model is fitted on the driver from the templates below, varied by rule, and
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -132,6 +133,17 @@ def cut(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
+def tightest(pairs: np.ndarray, template: frozenset[int]) -> tuple[int, int]:
+    """Begin and end of the shortest stretch of words with all of the template's word pairs that occur at all."""
+    where = np.nonzero(np.isin(pairs, list(template)))[0].tolist()
+    kinds, at, best = len({int(pairs[i]) for i in where}), {}, (0, len(pairs))
+    for i in where:
+        at[int(pairs[i])] = i
+        if len(at) == kinds and (first := min(at.values())) + best[1] - best[0] > i + 2:
+            best = (first, i + 2)
+    return best
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -190,14 +202,22 @@ class Model:
         own = set(pairs.tolist())
         return max(((len(t & own) / len(t), t) for t in self.templates[family]), key=lambda x: x[0], default=(0.0, frozenset()))
 
-    def confirmed(self, ids: np.ndarray, a: int, b: int, chance: float, p: np.ndarray) -> Iterator[tuple[str, float, float, int, int]]:
-        """(family, probability, similarity, begin and end of what the template matches) of a window that reads like a licence."""
+    def confirmed(self, ids: np.ndarray, a: int, b: int, chance: float, p: np.ndarray) -> Iterator[tuple[bool, str, float, float, int, int]]:
+        """(sure in the window, family, probability, similarity, begin and end of what the template matches) of a window that
+        reads like a licence, for each family. One that shares it with others must be sure in the words its template matches."""
         pairs = ngrams(ids[a:b], 2, len(self.vocab) + 1)
-        at = max((j for j, label in enumerate(self.labels) if label not in (NONE, UNKNOWN)), key=lambda j: p[j])
-        near, template = self.nearest(self.labels[at], pairs)
-        if p[at] / chance >= SURE and near >= CONFIRMED:
-            where = np.nonzero(np.isin(pairs, list(template)))[0]
-            yield self.labels[at], chance, near, a + int(where[0]), a + int(where[-1]) + 2
+        for at in np.argsort(-p).tolist():
+            if (family := self.labels[at]) in (NONE, UNKNOWN):
+                continue
+            near, template = self.nearest(family, pairs)
+            if near < CONFIRMED:
+                continue
+            first, end = (a + x for x in tightest(pairs, template))
+            own, q = chance, p
+            if not (sure := q[at] / own >= SURE):
+                (own,), (q,) = self.licence(ids[first:end], np.array([0]), np.array([end - first]))
+            if own >= 0.5 and q[at] / own >= SURE:
+                yield bool(sure), family, float(own), near, first, end
 
     def scan(self, texts: Sequence[str]) -> list[tuple[int, float, list[dict]]]:
         """(paragraphs, greatest probability of a licence, hits) of each text."""
@@ -236,21 +256,21 @@ class Model:
 
     def hits(self, ids: np.ndarray, line_of: np.ndarray, windows: list[tuple[int, int, float, np.ndarray]]) -> list[tuple[int, str, float, float]]:
         """(line, class, probability, similarity) from a text's windows that read like a licence, best first, those in one
-        line before those across lines. A statement is told of the line it begins in, and the lines it takes aren't unknown."""
+        line before those across lines. A statement is told of the line it begins in, each family once a line, and the lines it takes aren't unknown."""
         told: list[tuple[int, str, float, float]] = []
-        spans: list[tuple[str, int, int]] = []
-        taken: set[int] = set()
-        for a, b, chance, p in windows:
-            for family, q, near, first, end in self.confirmed(ids, a, b, chance, p):
-                line = int(line_of[first])
-                if line_of[a] == line_of[b - 1]:
-                    new = line not in taken
-                else:
-                    new = not any(f == family and first < y and x < end for f, x, y in spans)
-                if new and not any(f == family and line == at for at, f, *_ in told):
-                    told.append((line, family, q, near))
-                spans.append((family, first, end))
-                taken.update(range(line, int(line_of[end - 1]) + 1))
+        spans: list[tuple[int, int]] = []  # in order, none in another
+        taken, seen = set(), set()
+        found = [(not sure, bool(line_of[a] != line_of[b - 1]), -near, -q, family, first, end) for a, b, chance, p in windows for sure, family, q, near, first, end in self.confirmed(ids, a, b, chance, p)]
+        for _, _, near, q, family, first, end in sorted(found):
+            line = int(line_of[first])
+            at = bisect(spans, (first, end))
+            if any(first < y and x < end for x, y in spans[max(0, at - 1) : at + 1]):
+                continue  # the same words are one statement, of the family that matches best
+            spans.insert(at, (first, end))
+            taken.update(range(line, int(line_of[end - 1]) + 1))
+            if (line, family) not in seen:
+                seen.add((line, family))
+                told.append((line, family, -q, -near))
         for a, b, chance, p in windows:
             lines = range(int(line_of[a]), int(line_of[b - 1]) + 1)
             if taken.isdisjoint(lines):
@@ -378,7 +398,7 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     licences: the confirmed families, each once, in order of their first paragraph; n_unknown: paragraphs that read
     like a licence of no confirmed family; score: the greatest calibrated probability of a licence; hits: paragraph,
-    family, probability and template similarity of each paragraph that is not ``none``. A paragraph is a line with a
+    family, probability and template similarity of each family of a paragraph, or of a paragraph that is ``unknown``. A paragraph is a line with a
     word; a statement that is wrapped over lines is a hit of the one it begins in, and ends at a line without words. Null and empty texts have none; repeated rows are scanned each; an empty table gives an empty result; other
     columns of docs are ignored.
     """

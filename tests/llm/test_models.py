@@ -252,3 +252,16 @@ def test_license_scores_every_line(spark, scanner):
     for r in got:
         assert abs(r.score - plain_chance(scanner, texts[r.doc_id])) < 2e-6, (texts[r.doc_id], r)
     assert max(r.score for r in got if r.doc_id < 2) > 0.001 and got[5].score == 0
+
+
+def test_license_families_of_one_line(spark, scanner):
+    noise = "zorp quil vant " * 60
+    a, m, g = "Licensed under the Apache License, Version 2.0", "released under the MIT License", "released under the GNU General Public License version 2 or later"
+    rows = [f"{a}, or {m}.", f"{a}. {noise} {m}. {noise} {g}. {noise} {m}.", f"{noise} {m} or {g}", f"{a}\n{m}\n{a} or {g}", "Licensed under CC BY-NC 4.0 or released under the BSD license."]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, [(i, t, None, None, None) for i, t in enumerate(rows)]), scanner).collect()}
+    want = [{"apache-2.0", "mit"}, {"apache-2.0", "mit", "gpl"}, {"mit", "gpl"}, {"apache-2.0", "mit", "gpl"}, {"cc-by-nc", "bsd"}]
+    for i, families in enumerate(want):
+        r = got[i]
+        assert set(r.licences.split(",")) == families and r.n_unknown == 0, r
+        assert r.n_licences == len(r.hits) == (4 if i == 3 else len(families)) and all(h.similarity >= licenses.CONFIRMED for h in r.hits)
+    assert [(h.paragraph, h.family) for h in got[3].hits][:2] == [(0, "apache-2.0"), (1, "mit")]
