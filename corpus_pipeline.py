@@ -16,9 +16,12 @@ from emberline.llm.shared import materialise, named, unused
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be read (null texts, texts without a letter) go; a missing lang is filled in."""
+    """Documents in which no language can be read (null texts, texts without a letter) go; a missing lang is filled in,
+    with ``und`` if there was no labelled row to learn from."""
     lang, score = unused(docs, "__lang", "__score")
-    told = langid.identify(docs, langid.learn(docs), lang_col=lang, score_col=score).where(F.col(lang) != langid.UNKNOWN)
+    model = langid.learn(docs)
+    told = langid.identify(docs, model, lang_col=lang, score_col=score)
+    told = told.where(F.col(lang) != langid.UNKNOWN if model.labels else F.col("text").rlike(r"\p{L}"))
     return told.withColumn("lang", F.coalesce("lang", lang)).select(*named(docs))
 
 

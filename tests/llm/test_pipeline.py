@@ -65,3 +65,10 @@ def test_pipeline_on_hard_rows(spark):
 
 def test_pipeline_on_an_empty_table(spark):
     assert check(spark, frame(spark, [])).count() == 0
+
+
+def test_language_stage_without_labels(spark):
+    unlabelled = [(i, t, None, s, n) for i, t, _, s, n in ROWS]
+    got = rows_of(pipeline.language(spark, frame(spark, unlabelled, ("__lang",)), DIR))
+    want = [r for r in unlabelled if any(c.isalpha() for c in r[1] or "")]
+    assert sorted((str(r[0]), r[1]) for r in got) == sorted((str(r[0]), r[1]) for r in want) and {r[2] for r in got} == {"und"}
