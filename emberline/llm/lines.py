@@ -3,31 +3,32 @@
 Every distinct line key that more than one document holds goes, by its 128-bit hash, into one of many shards. A shard
 is a minimal perfect hash (bit levels with ranks) over its keys and three arrays in its order: the other half of the
 hash as fingerprint, the number of documents, and the smallest document id. Documents hash their lines and probe the
-arrays; texts and lines are never joined or shuffled.
+arrays; lines and texts are never joined.
 
-While the arrays are within a checked bound, the executors get them by broadcast. Beyond it the probes (16 bytes of
-hash and a row number) are dealt to the shards, salted by their number, and only the answers go back.
+There is no bound on the index: no task holds more than one shard. The probes (16 bytes of hash, the row's number, a
+line's number, the id) are dealt to the shards, those of a shard with frequent keys by a salt as well, and only the
+numbers of the lines that go come back. The texts stay where they were read: they are in buckets by the task that wrote
+them, and a task gets the answers of its rows.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import arrow_map, materialise, quoted, utf8
+from .shared import arrow_map, materialise, n_parts, numbered, quoted, told, utf8
 
 #: Keys with fewer code points are left alone.
 MIN_CHARS = 10
-#: Keys of a shard, bytes of an index that is broadcast at most, probes of one task when it is not.
-SHARD_KEYS, BROADCAST_BYTES, TASK_PROBES = 500_000, 64 << 20, 2_000_000
-#: Bytes of a key in the arrays: fingerprint, smallest id, count, and its share of the bit levels with ranks.
-KEY_BYTES = 8 + 8 + 4 + 6
+#: Keys of a shard and probes of a task, at most about.
+SHARD_KEYS, TASK_PROBES = 500_000, 1_000_000
+#: Stands for a null id, and for what an index doesn't hold.
 NO_ID = (1 << 63) - 1
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -103,156 +104,141 @@ class Shard:
         self.prints[slot], self.first[slot], self.count[slot] = h[:, 1], first, np.minimum(count, 2**32 - 1)
         del self.index.bits, self.index.ranks
 
-    def probe(self, h: np.ndarray) -> np.ndarray:
-        """For each row of h the smallest id that holds the key; NO_ID where the key is not in the index."""
+    def probe(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row of h the number of documents that hold the key and the smallest of their ids; 0 and NO_ID where
+        the key is not in the index."""
         if not hasattr(self.index, "bits"):
             self.index.ready()
         slot = self.index(h)
         hit = slot >= 0
         hit[hit] = self.prints[slot[hit]] == h[hit, 1]
-        out = np.full(len(h), NO_ID, np.int64)
-        out[hit] = self.first[slot[hit]]
-        return out
+        count, first = np.zeros(len(h), np.int64), np.full(len(h), NO_ID, np.int64)
+        count[hit], first[hit] = self.count[slot[hit]], self.first[slot[hit]]
+        return count, first
 
 
-def shard_of(h1: np.ndarray, shards: int) -> np.ndarray:
-    return (h1 >> np.uint64(32)) % np.uint64(shards)
+def as_number(column: str, kind: str) -> Column:
+    """An id as a whole number: itself, a hash where it is of another type, NO_ID where it is null."""
+    own = F.col(column).cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.when(F.col(column).isNotNull(), F.xxhash64(column))
+    return F.coalesce(own, F.lit(NO_ID))
 
 
-def repeated_keys(rows: DataFrame, least: int) -> DataFrame:
-    """h1, h2, first, count of each key that at least two documents (ids) hold. Sums are made before the shuffle."""
+def keys_of(rows: DataFrame, least: int) -> DataFrame:
+    """h1, h2, id of each distinct long enough key of each row (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             of, keys = [], []
-            for i, t in zip(ids, texts):
+            for i, t in enumerate(b.column(1).to_pylist()):
                 own = {k for k in map(key, utf8(t).split(b"\n")) if long_enough(k, least)}
                 keys += own
-                of += [NO_ID if i is None else i] * len(own)
+                of += [i] * len(own)
             h = hashes(keys).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(of, pa.int64())], names=["h1", "h2", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), b.column(0).take(pa.array(of, pa.int64()))], names=["h1", "h2", "id"])
 
-    found = arrow_map(rows, run, "h1 long, h2 long, id long")
-    return found.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("count")).where("first < last").drop("last")
+    return arrow_map(rows, run, f"h1 long, h2 long, id {rows.schema['id'].dataType.simpleString()}")
 
 
-def build_index(rows: DataFrame, least: int = MIN_CHARS, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int, int]:
-    """(shard, blob) table in the shared folder, the number of shards and of keys."""
-    keys = materialise(repeated_keys(rows, least), "line-keys")
-    n = keys.count()
-    shards = max(1, -(-n // shard_keys))
+def repeated_keys(rows: DataFrame, least: int) -> DataFrame:
+    """h1, h2, first (smallest id), count (of rows) of each key that at least two documents (ids) hold; null ids are one
+    document, after all others. Sums are made before the shuffle."""
+    held = keys_of(rows, least).groupBy("h1", "h2").agg(
+        F.min("id").alias("first"), F.max("id").alias("last"), F.count("id").alias("ids"), F.count(F.lit(1)).alias("count"))
+    return held.where((F.col("first") < F.col("last")) | (F.col("ids") > 0) & (F.col("ids") < F.col("count"))).drop("last", "ids")
+
+
+def build_index(rows: DataFrame, least: int = MIN_CHARS, shard_keys: int = SHARD_KEYS, task_probes: int = TASK_PROBES) -> tuple[DataFrame, int]:
+    """The table (shard, weight, blob) in the shared folder, and the number of shards. Weight: documents of its keys."""
+    kind = rows.schema["id"].dataType.simpleString()
+    keys = materialise(repeated_keys(rows, least).withColumn("first", as_number("first", kind)), "line-keys")
+    n, held = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    shards = max(1, n_parts(rows.sparkSession), -(-n // shard_keys), -(-held // task_probes))
     which = F.pmod(F.shiftrightunsigned("h1", 32), F.lit(shards))
 
     def make(pdf: pd.DataFrame) -> pd.DataFrame:
         h = pdf[["h1", "h2"]].to_numpy().astype(np.int64).view(np.uint64)
         made = Shard(h, pdf["first"].to_numpy(), pdf["count"].to_numpy())
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "blob": [pickle.dumps(made)]})
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "weight": [int(pdf["count"].sum())], "blob": [pickle.dumps(made)]})
+
+    built = keys.withColumn("shard", which).groupBy("shard").applyInPandas(make, "shard long, weight long, blob binary")
+    return materialise(built, "line-shards"), shards
+
+
+def rebuilt(text: str | None, gone: Sequence[int] | None) -> tuple[str, int, int]:
+    """The text without the lines that have a key of those numbered; its lines before, and how many went."""
+    own = utf8(text).split(b"\n")
+    if gone is None:
+        return text or "", len(own), 0
+    drop = {key(own[j]) for j in gone}
+    kept = [x for x in own if key(x) not in drop]
+    return b"\n".join(kept).decode("utf-8"), len(own), len(own) - len(kept)
 
-    built = keys.withColumn("shard", which).groupBy("shard").applyInPandas(make, "shard long, blob binary")
-    return materialise(built, "line-shards"), shards, n
 
+def dropped(rows: DataFrame, index: DataFrame, shards: int, least: int, task_probes: int) -> DataFrame:
+    """n, value: of each row (id, text, n) of another document than the first that holds a key, the number of the first
+    line with that key."""
 
-def split(texts: list[str | None], ids: list, least: int) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """The texts' lines; the hashes of those long enough, and (text, line) of each."""
-    lines = [utf8(t).split(b"\n") for t in texts]
-    keys, where = [], []
-    for i, own in enumerate(lines):
-        for j, line in enumerate(own):
-            k = key(line)
-            if long_enough(k, least):
-                keys.append(k)
-                where.append((i, j))
-    return lines, hashes(keys), np.array(where, np.int64).reshape(-1, 2)
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for b in batches:
+            keys, of, line = [], [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                own: dict[bytes, int] = {}
+                for j, k in enumerate(map(key, utf8(t).split(b"\n"))):
+                    if k not in own and long_enough(k, least):
+                        own[k] = j
+                keys += own
+                line += own.values()
+                of += [i] * len(own)
+            h, at = hashes(keys), pa.array(of, pa.int64())
+            halves = [pa.array(np.ascontiguousarray(h[:, i]).view(np.int64)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*halves, b.column(2).take(at), pa.array(line, pa.int32()), b.column(0).take(at)], names=["h1", "h2", "n", "line", "id"])
+
+    probes = arrow_map(rows.select("id", "text", "n"), asked, "h1 long, h2 long, n long, line int, id long")
+    probes = probes.withColumn("shard", F.pmod(F.shiftrightunsigned("h1", 32), F.lit(shards)))
+    # only a shard with frequent keys gets more than one task; the list has a row for each task_probes probes at most
+    salts = F.least(F.floor(F.col("weight") / task_probes) + 1, F.lit(1 << 20)).cast("int")
+    arrays = index.select("shard", "blob", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    hot = F.broadcast(index.select("shard", salts.alias("salts")).where("salts > 1"))
+    probes = probes.join(hot, "shard", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("n", "line"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
 
+    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"n": pd.Series([], dtype="int64"), "value": pd.Series([], dtype="int32")})
+        h = left[["h1", "h2"]].to_numpy().astype(np.int64).view(np.uint64)
+        count, first = pickle.loads(right["blob"].iloc[0]).probe(h)
+        return left.loc[(count > 1) & (first != left["id"].to_numpy()), ["n", "line"]].rename(columns={"line": "value"})
 
-def rebuilt(lines: list[list[bytes]], drop: list[set[int]]) -> list[str]:
-    return [b"\n".join([x for j, x in enumerate(own) if j not in gone] if gone else own).decode("utf-8") for own, gone in zip(lines, drop)]
+    return probes.groupBy("shard", "salt").cogroup(arrays.groupBy("shard", "salt")).applyInPandas(answer, "n long, value int")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_CHARS, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = SHARD_KEYS, task_probes: int = TASK_PROBES, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_CHARS, shard_keys: int = SHARD_KEYS, task_probes: int = TASK_PROBES, counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
     """docs with its text without repeated lines, and the columns ``counts``: lines before, lines dropped.
 
     A text is split at \\n; null or empty is one empty line. Lines whose key (``key``) has at least ``least`` code
     points and is held by two documents go, except from the document of the smallest id that holds it, where all
-    stay. Null ids count as one document after all others; rows of one id are one document. All columns of docs stay
-    (but those with the names in ``counts`` are replaced); the text of a document that loses nothing is unchanged,
-    except that null becomes empty. An empty table gives an empty result.
+    stay. Ids are of any type that has an order. Null ids count as one document after all others; rows of one id are one
+    document. All columns of docs stay (but those with the names in ``counts``, in any case of letters, are replaced); the
+    text of a document that loses nothing is unchanged, except that null becomes empty. An empty table gives an empty result.
     """
-    spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
-    docs = docs.select(*[quoted(c) for c in docs.columns if c not in counts])
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    index, shards, n = build_index(rows, least, shard_keys)
-    at_text, at_id = docs.columns.index(text_col), docs.columns.index(id_col)
+    replaced = {c.lower() for c in counts}
+    docs = docs.select(*[quoted(c) for c in docs.columns if c.lower() not in replaced])
+    at_text = docs.columns.index(text_col)
+    kind = docs.schema[id_col].dataType.simpleString()
+    index, shards = build_index(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")), least, shard_keys, task_probes)
     inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    row = inner.select(F.struct(*[F.col(c) for i, c in enumerate(inner.columns) if i != at_text]).alias("row"), F.col(f"c{at_id}").cast("long").alias("id"), F.col(f"c{at_text}").alias("text"))
-    row_type = row.schema["row"].dataType.simpleString()
-    answers = "row, text, n_lines, n_dropped".split(", ")
-
-    def out(b: pa.RecordBatch, lines: list[list[bytes]], drop: list[set[int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(rebuilt(lines, drop), pa.string()), pa.array([len(x) for x in lines], pa.int64()), pa.array([len(x) for x in drop], pa.int64())], names=answers)
-
-    schema = f"row {row_type}, text string, n_lines long, n_dropped long"
-    if n * KEY_BYTES <= broadcast_bytes:
-        held = sc.broadcast({r.shard: bytes(r.blob) for r in index.toLocalIterator()})
-
-        def probe(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-            arrays = {k: pickle.loads(v) for k, v in held.value.items()}
-            for b in batches:
-                ids = [NO_ID if x is None else x for x in b.column(1).to_pylist()]
-                lines, h, where = split(b.column(2).to_pylist(), ids, least)
-                drop: list[set[int]] = [set() for _ in lines]
-                if len(h) and arrays:
-                    first, of = np.full(len(h), NO_ID, np.int64), shard_of(h[:, 0], shards)
-                    for s in np.unique(of):
-                        if int(s) in arrays:
-                            first[of == s] = arrays[int(s)].probe(h[of == s])
-                    for i, j in where[first < np.array(ids, np.int64)[where[:, 0]]].tolist():
-                        drop[i].add(j)
-                yield out(b, lines, drop)
-
-        done = arrow_map(row, probe, schema)
-    else:
-        done = routed(row, index, shards, least, task_probes, out, schema)
-    fields = [F.col("row")[f"c{i}"].alias(c) if i != at_text else F.col("text").alias(c) for i, c in enumerate(docs.columns)]
-    return done.select(*fields, F.col("n_lines").alias(counts[0]), F.col("n_dropped").alias(counts[1]))
-
-
-def routed(row: DataFrame, index: DataFrame, shards: int, least: int, task_probes: int, out, schema: str) -> DataFrame:
-    """The probes go to the shards and the answers (a row's dropped lines) come back by the row's number."""
-    spark = row.sparkSession
-    row = materialise(row.withColumn("n", F.monotonically_increasing_id()), "line-rows")
-
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for b in batches:
-            ids = [NO_ID if x is None else x for x in b.column(0).to_pylist()]
-            _, h, where = split(b.column(1).to_pylist(), ids, least)
-            shard = shard_of(h[:, 0], shards).astype(np.int64)
-            n, i = b.column(2).to_numpy(zero_copy_only=False), where[:, 0]
-            arrays = [shard, h[:, 0].view(np.int64), h[:, 1].view(np.int64), n[i] if len(i) else i, where[:, 1], np.array(ids, np.int64)[i] if len(i) else i]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in map(np.ascontiguousarray, arrays)], names=["shard", "h1", "h2", "n", "line", "id"])
-
-    probes = materialise(arrow_map(row.select("id", "text", "n"), asked, "shard long, h1 long, h2 long, n long, line long, id long"), "line-probes")
-    salts = probes.groupBy("shard").agg((F.floor(F.count(F.lit(1)) / task_probes) + 1).cast("int").alias("salts"))
-    arrays = index.join(salts, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    probes = probes.join(F.broadcast(salts), "shard").withColumn("salt", F.pmod(F.xxhash64("n", "line"), F.col("salts")).cast("int"))
-
-    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"n": pd.Series([], dtype="int64"), "line": pd.Series([], dtype="int64")})
-        first = pickle.loads(right["blob"].iloc[0]).probe(left[["h1", "h2"]].to_numpy().astype(np.int64).view(np.uint64))
-        return left.loc[first < left["id"].to_numpy(), ["n", "line"]]
-
-    dropped = probes.groupBy("shard", "salt").cogroup(arrays.select("shard", "salt", "blob").groupBy("shard", "salt")).applyInPandas(answer, "n long, line long")
-    by_row = dropped.groupBy("n").agg(F.collect_list("line").alias("gone"))
+    row = F.struct(*[F.col(c) for i, c in enumerate(inner.columns) if i != at_text], F.lit(0).alias("none"))
+    rows = numbered(inner.select(row.alias("row"), as_number(f"c{docs.columns.index(id_col)}", kind).alias("id"), F.col(f"c{at_text}").alias("text")), "line-rows")
+    all_ = told(rows, dropped(rows, index, shards, least, task_probes), "gone").select("row", "text", "gone")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for b in batches:
-            lines = [utf8(t).split(b"\n") for t in b.column(1).to_pylist()]
-            yield out(b, lines, [set(x or ()) for x in b.column(2).to_pylist()])
+            made = [rebuilt(t, gone) for t, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            arrays = [pa.array([m[i] for m in made], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=["row", "text", "n_lines", "n_dropped"])
 
-    del spark
-    return arrow_map(row.join(by_row, "n", "left").select("row", "text", "gone"), apply, schema)
+    done = arrow_map(all_, apply, f"row {rows.schema['row'].dataType.simpleString()}, text string, n_lines long, n_dropped long")
+    fields = [F.col("row")[f"c{i}"].alias(c) if i != at_text else F.col("text").alias(c) for i, c in enumerate(docs.columns)]
+    return done.select(*fields, F.col("n_lines").alias(counts[0]), F.col("n_dropped").alias(counts[1]))
 
 
 #: The same for the table ``documents``: one row for each document, the digest of what stays.

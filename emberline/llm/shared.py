@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,9 +19,12 @@ BATCH_ROWS, BATCH_BYTES = 256, 32 << 20
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary folder if all
+    executors are threads of the driver (local mode), else an error: a machine's own folder wouldn't be shared."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="emberline-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -29,12 +35,59 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
     The files go when the application ends.
     """
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/emberline/{label}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, label)
     df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path of the shared folder that nothing is at; what will be there goes when the application ends."""
+    path = f"{work_dir(spark)}/emberline/{label}-{uuid.uuid4().hex}"
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.parquet(path)
+    return path
+
+
+#: Bits of a row's number within its task, below the task's number (monotonically_increasing_id).
+TASK_BITS = 33
+
+
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder with two more columns, ``task`` and ``n`` (the row's number, which holds its
+    task's), as a table in buckets by task: what is later known of a row can come to it, and the row stays in place."""
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    rows = df.withColumn("n", F.monotonically_increasing_id())
+    rows = rows.withColumn("task", F.shiftright("n", TASK_BITS))
+    rows.write.bucketBy(n_parts(spark), "task").option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def told(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """rows (of ``numbered``) with the column ``name``: the array of all values (int) that ``found`` (n, value) has of the
+    row, null if it has none.
+
+    Only found is shuffled, by task: a task's values become one array over its rows, as many as one task read. rows stay in
+    their buckets; each takes its own out of its task's array.
+    """
+
+    def dense(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        at = pdf["n"].to_numpy() & ((1 << TASK_BITS) - 1)
+        order = np.argsort(at, kind="stable")
+        at, value = at[order], pdf["value"].to_numpy()[order]
+        starts = np.nonzero(np.diff(at, prepend=-1))[0]
+        out: list = [None] * (int(at[-1]) + 1)
+        for i, own in zip(at[starts].tolist(), np.split(value, starts[1:])):
+            out[i] = own
+        return pd.DataFrame({"task": [key[0]], "all": [out]})
+
+    ship(rows.sparkSession)
+    by_task = found.select(F.shiftright("n", TASK_BITS).alias("task"), "n", F.col("value").cast("int").alias("value")).groupBy("task")
+    arrays = by_task.applyInPandas(dense, "task long, all array<array<int>>").withColumnRenamed("task", "of_task").hint("shuffle_hash")
+    both = rows.join(arrays, F.col("task") == F.col("of_task"), "left")
+    own = F.get(F.col("all"), F.col("n").bitwiseAND(F.lit((1 << TASK_BITS) - 1)).cast("int"))
+    return both.select(*[quoted(c) for c in rows.columns], own.alias(name))
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -51,13 +104,13 @@ def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]]
     """df with new columns made from one of its columns, row by row; without that column if keep is false.
 
     out has (name, Spark type, Arrow type); fn takes the column of a batch and gives the new columns, as lists or arrays.
-    A column of df with a new column's name is replaced. Columns go through the workers under their positions, so they
+    A column of df with a new column's name, in any case of letters, is replaced. Columns go through the workers under their positions, so they
     may bear any name; the column itself goes there once.
     """
-    names, at = {n for n, _, _ in out}, df.columns.index(column)
+    names, at = {n.lower() for n, _, _ in out}, df.columns.index(column)
     inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    others = [i for i, c in enumerate(df.columns) if c not in names and i != at]
-    stays = keep and column not in names
+    others = [i for i, c in enumerate(df.columns) if c.lower() not in names and i != at]
+    stays = keep and column.lower() not in names
     rows = inner.select(F.col(f"c{at}").alias("value"), *([F.struct(*[F.col(f"c{i}") for i in others]).alias("row")] if others else []))
     types, passed = [t for _, _, t in out], [*(["value"] if stays else []), *(["row"] if others else [])]
     first = 0 if stays else 1

@@ -64,7 +64,8 @@ class Splitter:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find = pattern().findall
-        self.from_bytes = {c: b for b, c in enumerate(byte_chars())}
+        self.library, self.to_chars = self.tokenizer.model, byte_chars()
+        self.from_bytes = {c: b for b, c in enumerate(self.to_chars)}
 
     def pieces(self, text: str | None) -> list:
         """The text's pre-tokens in order; a special string's id stands for it."""
@@ -81,10 +82,18 @@ class Splitter:
         return out
 
     def plain(self, text: str) -> list[str]:
-        if text.isascii() or (not _OTHER.search(text) and unicodedata.is_normalized("NFC", text)):
-            return self.find(text.lower())
+        low = text.lower()
+        # lower case may lead out of the plain characters (U+0130, U+0181), so it is looked at too
+        if text.isascii() or not (_OTHER.search(text) or _OTHER.search(low)) and unicodedata.is_normalized("NFC", text):
+            return self.find(low)
         return self.by_library(text)
 
+    def tokens_of(self, piece: str) -> int:
+        """How many tokens the library's model makes of a pre-token. It is normalised already, and doing that twice may
+        put its marks in another order."""
+        chars = self.to_chars
+        return len(self.library.tokenize("".join([chars[b] for b in piece.encode("utf-8", "surrogatepass")])))
+
     def by_library(self, text: str) -> list[str]:
         found = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))
         back = self.from_bytes

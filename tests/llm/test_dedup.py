@@ -2,7 +2,7 @@
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -117,6 +117,65 @@ def test_gray_index_finds_every_class(seed):
     assert len({*zip(linked.flatten().tolist(), want)}) == len(set(want))
 
 
+def test_index_prunes_pairs_of_real_fingerprints(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    x = np.unique(np.array([simhash.fingerprint(t) for t in texts], np.uint64))
+    seen = Counter()
+    a, b = simhash.link(simhash.GrayIndex(x), None, seen=seen)
+    pairs = len(x) * (len(x) - 1) // 2
+    assert 0 < seen["far"] < seen["nodes"] < pairs and seen["compared"] < pairs // 10
+    assert links_of(x, a, b) == links_of(x, *all_links(x))
+    # the same by blocks, all groups of a block in one walk
+    found = []
+    for mask in simhash.block_masks():
+        key_ = x & np.uint64(mask)
+        order = np.argsort(key_, kind="stable")
+        group = np.unique(key_[order], return_inverse=True)[1]
+        found.append(simhash.link(simhash.GrayIndex(x[order], group), None, frontier=500))
+    assert links_of(x, *[np.concatenate(c) for c in zip(*found)]) == links_of(x, a, b)
+
+
+def all_links(x):
+    i, j = np.nonzero(np.triu(np.bitwise_count(x[:, None] ^ x[None, :]) <= 4, 1))
+    return x[i], x[j]
+
+
+def links_of(x, a, b):
+    """The classes that links make, as the least member of each fingerprint's."""
+    forest, at = simhash.Forest(len(x)), {int(v): i for i, v in enumerate(x)}
+    forest.join(np.array([at[int(v)] for v in a], int), np.array([at[int(v)] for v in b], int))
+    return forest.flatten().tolist()
+
+
+def test_blocks_miss_no_pair():
+    rng = np.random.default_rng(1)
+    assert sum(simhash.block_masks()) == 2**64 - 1
+    for _ in range(2000):
+        flipped = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+        assert any(not flipped & mask for mask in simhash.block_masks())
+
+
+def test_join_frequent_is_a_join(spark):
+    rows = spark.range(60_000).selectExpr("id", "if(id % 3 = 0, 7, id) AS k")
+    of = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.col("k") * 2)
+    got = simhash.join_frequent(rows, of, "k", 60_000)
+    assert got.agg(F.count(F.lit(1)), F.sum((F.col("v") == 2 * F.col("k")).cast("int"))).first() == (60_000, 60_000)
+
+
+def test_one_of_each_takes_one_of_repeated_rows(spark):
+    rows = [(1, "same words in both rows", "en", "a", 1), (1, "SAME words in both rows", "en", "b", 2), (1, "same words in both rows", "en", "c", 3)]
+    got = {tuple(simhash.one_of_each(frame(spark, rows).repartition(k)).first()) for k in (1, 2)}
+    assert len(got) == 1 and next(iter(got))[0] == 1
+
+
+def test_no_text_is_shuffled_for_one_of_each(spark):
+    df = simhash.one_of_each(frame(spark))
+    df.collect()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    moved = re.findall(r"(?ms)^\(\d+\) (?:Broadcast)?Exchange$.*?^Input \[\d+\]: \[(.*?)\]", df._jdf.queryExecution().explainString(mode))
+    assert moved and not any("row#" in m or "text" in m for m in moved)
+
+
 def test_one_of_each(spark):
     got = simhash.one_of_each(frame(spark, ROWS, ("fp", "__note")))
     want = {(i, c) for i, _, c in expected_near(ROWS)}
@@ -141,7 +200,7 @@ def plain_lines(rows, least=10):
     return out
 
 
-@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0, "shard_keys": 1, "task_probes": 2}])
+@pytest.mark.parametrize("how", [{}, {"shard_keys": 1, "task_probes": 2}])
 @pytest.mark.parametrize("rows", [ROWS, [(i, f"a common line of all\nline {i // 3} of three rows\n{'é' * 9}\n{'é' * 10}", "en", "s", 1) for i in range(60)], []])
 def test_line_dedup(spark, rows, how):
     got = lines.dedup_lines(frame(spark, rows, ("row", "n_lines", "h1")), **how)
@@ -154,8 +213,31 @@ def test_perfect_hash_is_minimal():
     slots = lines.PerfectHash(h).ready()(h)
     assert sorted(slots.tolist()) == list(range(5000))
     shard = lines.Shard(h, np.arange(5000), np.full(5000, 2))
-    assert (shard.probe(h) == np.arange(5000)).all()
-    assert (shard.probe(lines.hashes([f"other {i}".encode() for i in range(5000)])) == lines.NO_ID).all()
+    count, first = shard.probe(h)
+    assert (first == np.arange(5000)).all() and (count == 2).all()
+    count, first = shard.probe(lines.hashes([f"other {i}".encode() for i in range(5000)]))
+    assert (first == lines.NO_ID).all() and not count.any()
+
+
+def test_texts_of_line_dedup_stay_in_place(spark):
+    rows = [(i, f"a common line of all\nline {i // 3} of three rows", "en", "s", 1) for i in range(60)]
+    done = lines.dedup_lines(frame(spark, rows))
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.split("\n") if "Exchange" in x]
+    assert moved and "Bucketed: true" in plan
+    for node in re.findall(r"(?ms)^\(\d+\) (?:Broadcast)?Exchange$.*?^Input \[\d+\]: \[(.*?)\]", done._jdf.queryExecution().explainString(done.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))):
+        assert "text#" not in node and "row#" not in node
+
+
+def test_line_dedup_with_ids_of_text_and_columns_in_other_case(spark):
+    rows = [(i, f"a common line of all\nline {i // 3} of three rows", "en", "s", 1) for i in range(12)] + [(None, "a common line of all", "en", "s", 1)]
+    df = frame(spark, rows, ("N_Lines", "Kept"))
+    want = lines.dedup_lines(df).collect()
+    as_text = df.withColumn("doc_id", F.lpad(F.col("doc_id").cast("string"), 4, "0"))
+    got = lines.dedup_lines(as_text).collect()
+    assert got[0].asDict().keys() == want[0].asDict().keys() and "N_Lines" not in want[0].asDict()
+    assert sorted((str(r.doc_id and int(r.doc_id)), r.text) for r in got) == sorted((str(r.doc_id or (None if r.doc_id is None else 0)), r.text) for r in want)
 
 
 def test_long_text_counts_whole():

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 
 import public_tokenizers
 import pytest
@@ -15,7 +16,7 @@ from .texts import ROWS, frame
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     "", "don't I'LL we'VE it’s 'S", "İ ΑΣΣ ς", "e\u0301 Å Ω ﬁ ŉ", "½²③ ٣٤ 0123", "a\u200bb c\x1c\x1d\x85\xa0d", "<|startoftext|>X<|endoftext|><|endoftext", "한국어 ㄱ क्षि ก็",
-    "\U0001f469\u200d\U0001f4bb \x00\x7f", "a" * 700, "ab" * 400 + "!?" * 300, "ǅ ẞ K ᾳ", "—–“”€", "\n\n\t ", "É È é",
+    "Yaran Ɓangaren yau ƊAKI KƐ aƁb", "rİ\u0336d", "İ\u031f4", "\U0001f469\u200d\U0001f4bb \x00\x7f", "a" * 700, "ab" * 400 + "!?" * 300, "ǅ ẞ K ᾳ", "—–“”€", "\n\n\t ", "É È é",
 ]
 
 
@@ -38,6 +39,27 @@ def test_encoder_equals_library(library, encoder):
         assert encoder.ids(text) == library.encode(text, add_special_tokens=False).ids, repr(text)[:80]
 
 
+def same_as_library(library, encoder, texts):
+    lengths = tokens.Lengths(encoder.splitter, ("", b""))
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert encoder.ids(text) == want.ids, ascii(text)
+        assert sum(map(lengths.__getitem__, encoder.splitter.pieces(text))) == len(want.ids), ascii(text)
+
+
+def test_every_code_point(library, encoder):
+    """Alone and inside words of both cases; surrogates are no characters."""
+    chars = [chr(c) for c in range(0x11000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(chars), 4096):
+        same_as_library(library, encoder, [t for c in chars[at : at + 4096] for t in (c, f"a{c}b", f"A{c}B")])
+
+
+def test_random_letters_and_marks(library, encoder):
+    rng = random.Random(3)
+    pool = [chr(c) for c in range(0x2100) if unicodedata.category(chr(c))[0] in "LMN"]
+    near = [chr(c) for c in [*range(0x20, 0x250), *range(0x300, 0x370), *range(0x2010, 0x2030)]]
+    same_as_library(library, encoder, ["".join(rng.choice(p) for _ in range(rng.randint(1, 12))) for p in (pool, near) for _ in range(10_000)])
+
+
 def test_every_vocabulary_entry(library, encoder):
     texts = [t.replace("</w>", "") for t in list(encoder.vocab)[::7]]
     for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
