@@ -1,12 +1,15 @@
 """Chat formatting by incremental black-box rendering.
 
 A template is any function from a list of (role, text) turns to a string. The formatter knows nothing about it: it
-renders successive prefixes of a conversation and compares consecutive outputs. What a longer prefix adds is the
-added turn's span. Where a longer prefix changes what was there before, the template rewrites history; spans can't be
-had that way, and the conversation is marked as rewritten.
+renders every successive prefix of a conversation, however long, and compares consecutive outputs. What a longer prefix
+adds is the added turn's span. Where a longer prefix changes what was there before, at whatever turn, the template rewrites
+history; spans can't be had that way, and the conversation is marked as rewritten.
 
-Within a turn's span, the turn's text is found by rendering the same prefix with another text in that turn: what the
-two outputs share at both ends is the template's frame.
+The texts within the spans are found by two more renderings of the whole conversation, each text between two markers
+that differ between the two: where the outputs differ, texts begin and end. A template for which that doesn't add up
+(one that hides or changes a text) is asked turn by turn, with other markers in that turn alone.
+
+A conversation of n turns costs n + 3 renderings, none of which is kept but the last two.
 """
 
 from __future__ import annotations
@@ -15,7 +18,9 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,13 +31,14 @@ Template = Callable[[Sequence[Turn]], str]
 
 #: Marks of the house template, and the character that breaks a mark.
 OPEN, CLOSE, ESCAPE = "<s>", "</s>", "\\"
-#: Turns that are rendered again with each added turn; longer conversations go on from a checked frame.
-WINDOW = 32
+#: Put around texts to find them in the output.
+MARKERS = ("A", "B")
 #: What is followed by ESCAPE in a text or role: ESCAPE itself and whatever a mark or control string could begin with.
 #: So "</s>" becomes "<\\/s>" and "[INST]" becomes "[\\INST]": no control string is left for a tokenizer to find.
 CONTROL = re.compile(r"[\\<\[\]]")
 
 
+@lru_cache(256)  # successive prefixes escape the same texts
 def escape(text: str) -> str:
     return CONTROL.sub(lambda m: m[0] + ESCAPE, text)
 
@@ -83,47 +89,44 @@ def shared_ends(a: str, b: str) -> tuple[int, int]:
     return head, lo
 
 
-def render(turns: Sequence[Turn], template: Template, window: int = WINDOW) -> Rendered:
-    """Renders growing prefixes and locates each turn's span and text.
-
-    A conversation of more than ``window`` turns is rendered in windows that overlap by one turn: a window's first turn
-    stands for all before it. That holds only for templates whose turns don't depend on more; the joined result is
-    compared with one rendering of the whole, and if it differs, every prefix is rendered in full.
-    """
-    full = template(turns)
-    if len(turns) > window:
-        out, spans = "", []
-        for at in range(0, len(turns), window):
-            own = turns[max(0, at - 1) : at + window]
-            part = prefixes(own, template)
-            if part.rewritten:
-                break
-            skip = part.spans[0][1] if at else 0
-            shift = len(out) - skip
-            spans += [tuple(x + shift for x in s) for s in part.spans[bool(at) :]]
-            out += part.text[skip:]
-        else:
-            if out == full:
-                return Rendered(full, spans, False)
-    return prefixes(turns, template)
-
-
-def prefixes(turns: Sequence[Turn], template: Template) -> Rendered:
-    before, spans = template(turns[:0]), []
-    for k, (role, text) in enumerate(turns):
+def render(turns: Sequence[Turn], template: Template) -> Rendered:
+    """Renders every prefix, locates each turn's span and text, and detects a template that rewrites history."""
+    before, ends = template(turns[:0]), []
+    for k in range(len(turns)):
         now = template(turns[: k + 1])
         if not now.startswith(before):
             return Rendered(template(turns), [], True)
-        begin = len(before) if k else 0
-        spans.append((begin, len(now), *text_within(turns[:k], role, text, now, template)))
+        ends.append(len(now))
         before = now
-    return Rendered(before, spans, False)
+    spans = list(zip([0, *ends[:-1]], ends))
+    texts = texts_within(turns, before, spans, template)
+    if texts is None:
+        texts = [text_within(turns[:k], *turns[k], before[: ends[k]], template) for k in range(len(turns))]
+    return Rendered(before, [(*s, *t) for s, t in zip(spans, texts)], False)
+
+
+def texts_within(turns: Sequence[Turn], full: str, spans: list[tuple[int, int]], template: Template) -> list[tuple[int, int]] | None:
+    """Where each turn's text begins and ends in full, from two renderings with markers around every text; None if the
+    markers don't come back as two in each span with nothing else changed."""
+    one, other = (template([(r, m + t + m) for r, t in turns]) for m in MARKERS)
+    if len(one) != len(other) or len(one) != len(full) + 2 * len(turns):
+        return None
+    a, b = (np.frombuffer(x.encode("utf-32-le", "surrogatepass"), "<u4") for x in (one, other))
+    at = np.nonzero(a != b)[0]
+    if len(at) != 2 * len(turns) or any((x[at] != ord(m)).any() for x, m in zip((a, b), MARKERS)):
+        return None
+    if not np.array_equal(np.delete(a, at), np.frombuffer(full.encode("utf-32-le", "surrogatepass"), "<u4")):
+        return None
+    places = (at - np.arange(len(at))).reshape(-1, 2).tolist()  # without the markers before
+    if any(not begin <= x <= y <= end for (begin, end), (x, y) in zip(spans, places)):
+        return None
+    return [(x, y) for x, y in places]
 
 
 def text_within(history: Sequence[Turn], role: str, text: str, now: str, template: Template) -> tuple[int, int]:
     """Where the last turn's text begins and ends in now: the frame is what a rendering with the text between two
     plain markers, and one with other markers, have in common around them."""
-    other = [template([*history, (role, m + text + m)]) for m in ("A", "B")]
+    other = [template([*history, (role, m + text + m)]) for m in MARKERS]
     head, _ = shared_ends(*other)
     tail, _ = shared_ends(other[0][::-1], other[1][::-1])
     return head, len(now) - tail
@@ -194,21 +197,27 @@ def format_chats(rows: DataFrame, template: Template = house_template, conv_col:
 
 def digests(chats: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """Read back from the formatted strings of the house template and their spans: conv_id, n_turns, turns_sha256 (role,
-    newline, text, newline for each turn), loss_chars, loss_sha256, formatted_chars."""
+    newline, text, newline for each turn), loss_chars, loss_sha256, formatted_chars, rewritten.
+
+    A rewritten conversation has no spans, so its loss_chars and loss_sha256 are null; a string that isn't of the house
+    template raises ValueError; an empty table gives an empty result; other columns are ignored.
+    """
     id_type = chats.schema["conv_id"].dataType.simpleString()
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "rewritten"]
+
+    def row(formatted: str, spans: list[dict], rewritten: bool) -> tuple:
+        turns = parse_house(formatted)
+        every = hashlib.sha256("".join([f"{r}\n{t}\n" for r, t in turns]).encode()).hexdigest()
+        if rewritten:
+            return len(turns), every, None, None, len(formatted), True
+        loss = "".join([unescape(formatted[s["text_begin"] : s["text_end"]]) for s in spans if s["role"] == loss_role])
+        return len(turns), every, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(formatted), False
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
         for b in batches:
-            out: list[list] = [[] for _ in names[1:]]
-            for formatted, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                turns = parse_house(formatted)
-                loss = "".join([unescape(formatted[s["text_begin"] : s["text_end"]]) for s in spans if s["role"] == loss_role])
-                every = "".join([f"{r}\n{t}\n" for r, t in turns])
-                row = len(turns), hashlib.sha256(every.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(formatted)
-                for column, v in zip(out, row):
-                    column.append(v)
-            types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(v, t) for v, t in zip(out, types)]], names=names)
-
-    return arrow_map(chats, run, f"conv_id {id_type}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+            rows = [row(*r) for r in zip(*[b.column(i).to_pylist() for i in (1, 2, 3)])]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]], names=names)
+
+    schema = f"conv_id {id_type}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewritten boolean"
+    return arrow_map(chats.select("conv_id", "formatted", "spans", "rewritten"), run, schema)

@@ -1,8 +1,9 @@
 """Telephony audio in columns: mu-law and A-law by lookup tables, IMA ADPCM across blocks, resampled PCM.
 
-A media value is a WAVE file in a binary column. ``store`` puts any bytes into a column as 8-bit mu-law samples without
-loss; ``read`` gets a file's format and data back; ``decode`` expands any of the formats to linear PCM, and
-``resample`` brings it to another rate.
+A media value is a WAVE file in a binary column. ``store`` puts any bytes into a column as such a file without loss: as
+8-bit mu-law or A-law samples, or as the nibbles of IMA ADPCM blocks. ``to_pcm`` decodes the files of all formats and
+stores them as linear PCM of one rate in another column; the ADPCM blocks of many files are decoded together.
+``inspect`` reads both columns back.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from math import gcd
@@ -19,13 +20,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import arrow_map, utf8
+from .shared import appended, arrow_map, quoted, utf8
 
 #: WAVE format numbers.
 PCM, ALAW, MULAW, IMA_ADPCM = 1, 6, 7, 17
 RATE, OUT_RATE, PAD = 8000, 16000, 64
+NAMES = {PCM: "pcm", ALAW: "alaw", MULAW: "mulaw", IMA_ADPCM: "ima-adpcm"}
+#: Bytes of an ADPCM block: a header of HEADER bytes, and nibbles. Blocks decoded together, bytes of files at once.
+HEADER, BLOCK, BLOCKS_AT_ONCE, BYTES_AT_ONCE = 4, 4 + PAD, 1 << 14, 4 << 20
 #: Fixed values of the IMA ADPCM format: how an index moves by a nibble's magnitude.
-MOVES = np.array([-1, -1, -1, -1, 2, 4, 6, 8], np.int64)
+MOVES = np.array([-1, -1, -1, -1, 2, 4, 6, 8], np.int32)
 
 
 @lru_cache(1)
@@ -57,32 +61,44 @@ def adpcm_steps() -> np.ndarray:
     )
 
 
-def decode_adpcm(data: bytes, block: int, samples: int | None = None) -> np.ndarray:
-    """Mono IMA ADPCM: a block is a 4-byte header (first sample, step index) and nibbles, low one first.
-
-    All blocks go forward together, one nibble of each at a time. A last short block is filled up and cut again.
-    """
+def decode_blocks(raw: np.ndarray) -> np.ndarray:
+    """The samples of mono IMA ADPCM blocks (blocks x bytes), a row for each: a 4-byte header (first sample, step index)
+    and nibbles, low one first. All blocks go forward together, one nibble of each at a time."""
+    whole, block = raw.shape
+    out = np.empty((whole, 1 + 2 * (block - HEADER)), np.int16)
+    steps = adpcm_steps().astype(np.int32)
+    for at in range(0, whole, BLOCKS_AT_ONCE):
+        part, made = raw[at : at + BLOCKS_AT_ONCE], out[at : at + BLOCKS_AT_ONCE]
+        value = part[:, :2].copy().view("<i2")[:, 0].astype(np.int32)
+        index = np.minimum(part[:, 2], 88).astype(np.int32)
+        made[:, 0] = value
+        for k in range(2 * (block - HEADER)):
+            byte = part[:, HEADER + k // 2]
+            nibble = (byte >> 4 if k % 2 else byte & 15).astype(np.int32)
+            step = steps[index]
+            diff = (step >> 3) + (step >> 2) * (nibble & 1) + (step >> 1) * (nibble >> 1 & 1) + step * (nibble >> 2 & 1)
+            value = np.clip(value + diff * (1 - (nibble >> 3) * 2), -32768, 32767)
+            index = np.clip(index + MOVES[nibble & 7], 0, 88)
+            made[:, 1 + k] = value
+    return out
+
+
+def blocks_of(data: bytes, block: int) -> np.ndarray:
+    """The blocks of a file's data; a last short one is filled up."""
     whole = -(-len(data) // block)
-    if not whole:
-        return np.zeros(0, np.int16)
-    short = whole * block - len(data)
-    raw = np.frombuffer(data + bytes(short), np.uint8).reshape(whole, block)
-    head = raw[:, :4].copy()
-    value = head[:, :2].copy().view("<i2")[:, 0].astype(np.int64)
-    index = np.clip(head[:, 2].astype(np.int64), 0, 88)
-    steps, out = adpcm_steps(), np.empty((whole, 1 + 2 * (block - 4)), np.int16)
-    out[:, 0] = value
-    for at in range(2 * (block - 4)):
-        byte = raw[:, 4 + at // 2]
-        nibble = ((byte >> 4) if at % 2 else (byte & 15)).astype(np.int64)
-        step = steps[index]
-        diff = (step >> 3) + np.where(nibble & 1, step >> 2, 0) + np.where(nibble & 2, step >> 1, 0) + np.where(nibble & 4, step, 0)
-        value = np.clip(np.where(nibble & 8, value - diff, value + diff), -32768, 32767)
-        index = np.clip(index + MOVES[nibble & 7], 0, 88)
-        out[:, 1 + at] = value
-    flat = out.reshape(-1)
-    keep = len(flat) - 2 * short if samples is None else min(samples, len(flat))
-    return flat[: max(0, keep)]
+    return np.frombuffer(data + bytes(whole * block - len(data)), np.uint8).reshape(whole, block)
+
+
+def kept_samples(size: int, block: int, samples: int | None) -> int:
+    """How many of the samples of ``size`` bytes of blocks count: what a last short block lacks is cut."""
+    whole = -(-size // block)
+    most = whole * (1 + 2 * (block - HEADER))
+    return max(0, most - 2 * (whole * block - size)) if samples is None else min(samples, most)
+
+
+def decode_adpcm(data: bytes, block: int, samples: int | None = None) -> np.ndarray:
+    """The samples of one file's mono IMA ADPCM blocks."""
+    return decode_blocks(blocks_of(data, block)).reshape(-1)[: kept_samples(len(data), block, samples)]
 
 
 def encode_adpcm(pcm: np.ndarray, block: int = 256) -> bytes:
@@ -163,6 +179,19 @@ def decode(wave: Wave) -> np.ndarray:
     raise ValueError(f"format {wave.format} of {wave.bits} bits")
 
 
+def decode_all(waves: Sequence[Wave]) -> list[np.ndarray]:
+    """Each file's samples; the ADPCM blocks of one size, of all files, are decoded in one go."""
+    out = [np.zeros(0, np.int16) if w.format == IMA_ADPCM else decode(w) for w in waves]
+    for block in {w.block for w in waves if w.format == IMA_ADPCM}:
+        of = [i for i, w in enumerate(waves) if w.format == IMA_ADPCM and w.block == block]
+        parts = [blocks_of(waves[i].data, block) for i in of]
+        made = decode_blocks(np.concatenate(parts))
+        ends = np.cumsum([len(p) for p in parts])
+        for i, p, end in zip(of, parts, ends.tolist()):
+            out[i] = made[end - len(p) : end].reshape(-1)[: kept_samples(len(waves[i].data), block, waves[i].samples)]
+    return out
+
+
 def resample(pcm: np.ndarray, rate: int, to: int) -> np.ndarray:
     """Linear interpolation between neighbours in exact integer arithmetic; n samples become ceil(n * to / rate)."""
     if rate == to or not len(pcm):
@@ -184,6 +213,22 @@ def padded(data: bytes, to: int = PAD) -> bytes:
     return data + bytes(-len(data) % to or (0 if data else to))
 
 
+def wrap(payload: bytes) -> bytes:
+    """A file that holds the payload (a positive multiple of PAD bytes) without loss, in the format that the payload's
+    checksum deals it: as mu-law or A-law samples, or as the nibbles of ADPCM blocks that begin at sample 0, step 0."""
+    form = (MULAW, ALAW, IMA_ADPCM)[zlib.crc32(payload) % 3]
+    if form != IMA_ADPCM:
+        return write_wave(payload, form)
+    raw = np.frombuffer(payload, np.uint8).reshape(-1, BLOCK - HEADER)
+    data = np.concatenate([np.zeros((len(raw), HEADER), np.uint8), raw], axis=1).tobytes()
+    return write_wave(data, form, bits=4, block=BLOCK, samples=len(raw) * (1 + 2 * (BLOCK - HEADER)))
+
+
+def payload_of(wave: Wave) -> bytes:
+    """The samples of a file as bytes, of ADPCM the nibbles without the blocks' headers."""
+    return np.ascontiguousarray(blocks_of(wave.data, wave.block)[:, HEADER:]).tobytes() if wave.format == IMA_ADPCM else wave.data
+
+
 def features(pcm: np.ndarray, rate: int) -> str:
     """Rate, samples, root mean square, peak, sign changes and checksum of 16-bit samples, in integers."""
     wide = pcm.astype(np.int64)
@@ -193,60 +238,63 @@ def features(pcm: np.ndarray, rate: int) -> str:
 
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pad: int = PAD) -> DataFrame:
-    """doc_id, n_bytes (of the UTF-8), media: a mu-law file at 8 kHz whose samples are the text's bytes, padded by
-    bytes 0 to a positive multiple of ``pad``.
+    """doc_id, n_bytes (of the UTF-8), media: an 8 kHz telephony file that holds the text's bytes, padded by bytes 0 to a
+    positive multiple of ``pad`` (itself a multiple of PAD), in the format that ``wrap`` deals it.
 
     Null and empty texts give ``pad`` bytes 0; equal texts give equal files; repeated rows give a file each; an empty
     table gives an empty result; other columns of docs are ignored.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for b in batches:
             raw = [utf8(t) for t in b.column(1).to_pylist()]
-            media = pa.array([write_wave(padded(x, pad)) for x in raw], pa.binary())
+            media = pa.array([wrap(padded(x, pad)) for x in raw], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in raw], pa.int64()), media], names=["doc_id", "n_bytes", "media"])
 
     return arrow_map(rows, run, f"doc_id {id_type}, n_bytes long, media binary")
 
 
-def to_pcm(files: DataFrame, media_col: str = "media", to: int = OUT_RATE) -> DataFrame:
-    """files with its media column as a 16-bit PCM file at the rate ``to``, for all four formats; null stays null."""
-    kept = [c for c in files.columns if c != media_col]
-    order = files.select(*[F.col(c) for c in kept], F.col(media_col))
+def to_pcm(files: DataFrame, media_col: str = "media", pcm_col: str = "pcm", to: int = OUT_RATE) -> DataFrame:
+    """files with one more column: its media as a 16-bit PCM file at the rate ``to``, for all four formats.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for m in b.column(len(kept)).to_pylist():
-                if m is None:
-                    out.append(None)
-                    continue
-                wave = read_wave(m)
-                pcm = resample(decode(wave), wave.rate, to)
-                out.append(write_wave(pcm.astype("<i2").tobytes(), PCM, to, 16, 2))
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(kept))], pa.array(out, pa.binary())], names=b.schema.names)
-
-    return arrow_map(order, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in order.schema))
-
-
-def inspect(files: DataFrame, to: int = OUT_RATE) -> DataFrame:
-    """What the files hold, read back from their bytes: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32
-    (of the last 64 bytes), media_bytes, media_sha256, feature (of the decoded and resampled samples)."""
+    Null media give null; a file that isn't a mono WAVE file of these formats raises ValueError; repeated rows are decoded
+    each; an empty table gives an empty result; a column named ``pcm_col`` (in any case of letters) is replaced.
+    """
+
+    def fn(column: pa.Array) -> list:
+        media = column.to_pylist()
+        waves = [read_wave(m) for m in media if m is not None]
+        made = iter([write_wave(resample(x, w.rate, to).astype("<i2").tobytes(), PCM, to, 16, 2) for x, w in zip(decode_all(waves), waves)])
+        return [[None if m is None else next(made) for m in media]]
+
+    return appended(files, media_col, [(pcm_col, "binary", pa.binary())], fn, at_once=BYTES_AT_ONCE)
+
+
+def inspect(files: DataFrame) -> DataFrame:
+    """What the files of the columns media and pcm hold, read back from their bytes: doc_id, n_bytes, payload_bytes,
+    payload_sha256, tail_crc32 (of the last 64 bytes), media_bytes, media_sha256, feature (the format, and measures of the
+    PCM samples), pcm_bytes. All but doc_id and n_bytes are null where media is null, the last two where pcm is."""
     id_type = files.schema["doc_id"].dataType.simpleString()
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pcm_bytes"]
+
+    def row(media: bytes | None, pcm: bytes | None) -> tuple:
+        if media is None:
+            return (None,) * len(names)
+        wave = read_wave(media)
+        data = payload_of(wave)
+        held = len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]), len(media), hashlib.sha256(media).hexdigest()
+        if pcm is None:
+            return (*held, None, None)
+        linear = read_wave(pcm)
+        return (*held, f"{NAMES[wave.format]} {wave.rate} {features(decode(linear), linear.rate)}", len(pcm))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for m in b.column(2).to_pylist():
-                wave = read_wave(m)
-                pcm = resample(decode(wave), wave.rate, to)
-                row = len(wave.data), hashlib.sha256(wave.data).hexdigest(), zlib.crc32(wave.data[-64:]), len(m), hashlib.sha256(m).hexdigest(), features(pcm, to)
-                for column, v in zip(out, row):
-                    column.append(v)
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(v, t) for v, t in zip(out, types)]], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    schema = f"doc_id {id_type}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return arrow_map(files.select("doc_id", "n_bytes", "media"), run, schema)
+            rows = [row(m.as_py(), p.as_py()) for m, p in zip(b.column(2), b.column(3))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]], names=["doc_id", "n_bytes", *names])
+
+    schema = f"doc_id {id_type}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm_bytes long"
+    return arrow_map(files.select("doc_id", "n_bytes", "media", "pcm"), run, schema)

@@ -27,7 +27,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.inspect(media.store(documents(spark, sf_dir)))
+    return media.inspect(media.to_pcm(media.store(documents(spark, sf_dir))))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,8 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(11 + length(role) + length(text)
                 + length(role) - length(translate(role, '\<[]', ''))
-                + length(text) - length(translate(text, '\<[]', ''))) AS BIGINT) AS formatted_chars
+                + length(text) - length(translate(text, '\<[]', ''))) AS BIGINT) AS formatted_chars,
+       FALSE AS rewritten
 FROM rows GROUP BY conv_id"""
 
 

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..shipping import ship
@@ -100,8 +101,9 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     return df.mapInArrow(fn, schema)
 
 
-def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]], fn: Callable[[pa.Array], list], keep: bool = True) -> DataFrame:
-    """df with new columns made from one of its columns, row by row; without that column if keep is false.
+def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]], fn: Callable[[pa.Array], list], keep: bool = True, at_once: int | None = None) -> DataFrame:
+    """df with new columns made from one of its columns, row by row; without that column if keep is false. fn gets rows of
+    about ``at_once`` bytes at a time (one row at least), where what it makes is much larger than what it gets.
 
     out has (name, Spark type, Arrow type); fn takes the column of a batch and gives the new columns, as lists or arrays.
     A column of df with a new column's name, in any case of letters, is replaced. Columns go through the workers under their positions, so they
@@ -117,7 +119,7 @@ def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]]
     header = [*passed, *[n for n, _, _ in out]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in batches if at_once is None else (p for whole in batches for p in pieces(whole, at_once)):
             arrays = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(fn(b.column(0)), types)]
             yield pa.RecordBatch.from_arrays([*b.columns[first:], *arrays], names=header)
 
@@ -127,6 +129,14 @@ def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]]
     return done.select(*[own[i].alias(df.columns[i]) for i in sorted(own)], *[F.col(f"`{n}`") for n, _, _ in out])
 
 
+def pieces(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``most`` bytes of its first column (text or binary), one row at least."""
+    size = pc.binary_length(b.column(0)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.nonzero(np.diff(np.cumsum(size) // most, prepend=-1))[0].tolist()
+    for a, e in zip(starts, [*starts[1:], b.num_rows]):
+        yield b.slice(a, e - a)
+
+
 def utf8(text: str | None) -> bytes:
     """The UTF-8 of a text; null is empty."""
     return b"" if text is None else text.encode("utf-8")

@@ -67,19 +67,47 @@ def test_resample():
     assert len(media.resample(np.zeros(441, np.int16), 44100, 8000)) == 80
 
 
-def test_store_and_inspect(spark):
-    got = {(r.doc_id, r.n_bytes): r for r in media.inspect(media.store(frame(spark, ROWS, ("media",)))).collect()}
-    for i, t, *_ in ROWS:
+def test_adpcm_of_many_files_is_decoded_as_alone():
+    rng = np.random.default_rng(5)
+    files = [media.Wave(media.IMA_ADPCM, 8000, 4, block, None, rng.integers(0, 256, size, dtype=np.uint8).tobytes()) for block in (36, 68) for size in (0, 68, 130, 5 * 68)]
+    files.append(media.Wave(media.MULAW, 8000, 8, 1, None, b"abc"))
+    for got, w in zip(media.decode_all(files), files):
+        assert got.tolist() == media.decode(w).tolist()
+
+
+def linear(form, payload):
+    """The samples of a payload in a format, by the definitions."""
+    if form == media.IMA_ADPCM:
+        return np.array([v for i in range(0, len(payload), 64) for v in plain_adpcm(bytes(4) + payload[i : i + 64])], np.int16)
+    return (media.mulaw_table() if form == media.MULAW else media.alaw_table())[np.frombuffer(payload, np.uint8)]
+
+
+def test_store_decode_and_inspect(spark):
+    more = [(100 + i, f"text number {i} " * i, "en", "s", 1) for i in range(12)]
+    files = media.to_pcm(media.store(frame(spark, [*ROWS, *more], ("media", "PCM"))))
+    assert files.columns == ["doc_id", "n_bytes", "media", "pcm"]
+    got, stored = {(r.doc_id, r.n_bytes): r for r in media.inspect(files).collect()}, {(r.doc_id, r.n_bytes): r for r in files.collect()}
+    seen = set()
+    for i, t, *_ in [*ROWS, *more]:
         raw = (t or "").encode()
         payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
-        r = got[i, len(raw)]
+        r, f = got[i, len(raw)], stored[i, len(raw)]
         assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
-        file = media.write_wave(payload)
-        assert (r.media_bytes, r.media_sha256) == (len(file), hashlib.sha256(file).hexdigest())
-        assert r.feature == media.features(media.resample(media.mulaw_table()[np.frombuffer(payload, np.uint8)], 8000, 16000), 16000)
-    assert media.inspect(media.store(frame(spark, []))).count() == 0
-    pcm = media.to_pcm(media.store(frame(spark))).collect()
-    assert all(media.read_wave(r.media).format == media.PCM and media.read_wave(r.media).rate == 16000 for r in pcm)
+        assert (r.media_bytes, r.media_sha256, r.pcm_bytes) == (len(f.media), hashlib.sha256(f.media).hexdigest(), len(f.pcm))
+        wave, pcm = media.read_wave(f.media), media.read_wave(f.pcm)
+        seen.add(wave.format)
+        assert wave.rate == 8000 and (pcm.format, pcm.rate, pcm.bits) == (media.PCM, 16000, 16) and media.payload_of(wave) == payload
+        want = media.resample(linear(wave.format, payload), 8000, 16000)
+        assert media.decode(pcm).tolist() == want.tolist()
+        assert r.feature == f"{media.NAMES[wave.format]} 8000 {media.features(want, 16000)}"
+    assert seen == {media.MULAW, media.ALAW, media.IMA_ADPCM}
+    assert media.inspect(media.to_pcm(media.store(frame(spark, [])))).count() == 0
+
+
+def test_null_media(spark):
+    df = spark.createDataFrame([(1, 3, None)], "doc_id long, n_bytes long, media binary")
+    row = media.inspect(media.to_pcm(df)).first().asDict()
+    assert row.pop("doc_id") == 1 and row.pop("n_bytes") == 3 and set(row.values()) == {None}
 
 
 CHATS = [
@@ -118,6 +146,34 @@ def test_black_box_templates():
     assert [numbered.text[a:b] for _, _, a, b in numbered.spans] == [t for _, t in many]
 
 
+@pytest.mark.parametrize("at", [1, 2, 35, 64, 1000])
+def test_rewriting_is_found_at_every_turn(at):
+    def template(ts):
+        return "".join(f"<{t}>" for _, t in ts).replace("<", "[" if len(ts) >= at else "<")
+
+    def late(ts):  # only the one prefix is written otherwise, the whole is not
+        return "".join(f"<{t}>" for _, t in ts) + ("!" if len(ts) == at else "")
+
+    turns = [("user", str(i)) for i in range(1200)]
+    assert chat.render(turns, template).rewritten == (at > 1)  # from the first turn on nothing was there to rewrite
+    assert chat.render(turns, late).rewritten and not chat.render(turns[: at - 1], late).rewritten
+
+
+def test_templates_that_change_texts():
+    turns = [("system", "s"), ("user", " x "), ("assistant", "y"), ("user", "")]
+    hidden = chat.render(turns, lambda ts: "".join(f"<{t}>" for r, t in ts if r != "system"))
+    assert not hidden.rewritten and [hidden.text[a:b] for _, _, a, b in hidden.spans[1:]] == [" x ", "y", ""]
+    lower = chat.render(turns, lambda ts: "".join(f"({t.lower()})" for _, t in ts))
+    assert [lower.text[a:b] for _, _, a, b in lower.spans] == ["s", " x ", "y", ""]
+    twice = chat.render(turns, lambda ts: "".join(f"({t}|{t})" for _, t in ts))
+    assert [twice.text[a:b] for a, b, _, _ in twice.spans] == [f"({t}|{t})" for _, t in turns]
+
+
+def test_digests_of_a_rewritten_conversation(spark):
+    chats = spark.createDataFrame([(1, chat.house_template([("user", "a")]), [], True)], "conv_id long, formatted string, spans array<struct<begin:long,end:long,text_begin:long,text_end:long,role:string>>, rewritten boolean")
+    assert chat.digests(chats).drop("turns_sha256").first() == (1, 1, None, None, 16, True)
+
+
 def test_escape_is_reversible():
     for t in ("", "\\", "\\\\<", "[<s>]\\", "plain", "\n\\n", "</s>[INST] ok [/INST]", "<\\s>", "]\\["):
         assert chat.unescape(chat.escape(t)) == t and not any(m in chat.escape(t) for m in ("<s>", "</s>", "[INST]"))
