@@ -23,13 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import appended, arrow_map
+from .shared import appended, arrow_map, quoted
 
 #: The bound of the training sample: labelled rows of each language, characters of a row, chains taken from a row.
 ROWS, CHARS, CHAINS = 150, 200_000, 16
 #: Words that show that a passage is shared between languages.
 SHINGLE = 3
-#: Words of a chain, hashed n-gram features, lengths of n-grams, steps of the fit, words in a worker's cache.
+#: Segments of texts that are worked on together (a text's always are).
+TOGETHER = 2048
+#: Words of a chain of the fit and of a segment of a text, hashed n-gram features, lengths of n-grams, steps of the fit,
+#: words in a worker's cache.
 CHAIN, BUCKETS, GRAMS, STEPS, CACHE = 64, 1 << 17, (1, 2, 3, 4), 25, 150_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -77,22 +80,59 @@ class Model:
         return np.add.reduceat(self.grams[g], begins, axis=0) + self.words[known]
 
 
-def chains(lengths: np.ndarray, size: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
-    """Texts of the given lengths cut in chains: first position of each chain, and its length."""
+def segments(lengths: np.ndarray, size: int = CHAIN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts of the given lengths cut in segments: first position of each segment, its length, its text, its number there."""
     count = -(-lengths // size)
     text = np.repeat(np.arange(len(lengths)), count)
     step = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
     first = (np.cumsum(lengths) - lengths)[text] + step * size
-    return first, np.minimum(size, lengths[text] - step * size)
+    return first, np.minimum(size, lengths[text] - step * size), text, step
 
 
-def forward_backward(e: np.ndarray, n: np.ndarray, moves: np.ndarray, start: np.ndarray, pairs: bool = False):
+def messages(e: np.ndarray, n: np.ndarray, text: np.ndarray, step: np.ndarray, moves: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What reaches each segment of a text from the segments before it (weights of the states before its first word is
+    seen) and from those after it (of the states of its last word). e and n as of forward_backward, all texts' segments in
+    order.
+
+    A segment's words together move a distribution linearly: its matrix is the product of its words'. The matrices of all
+    segments are made side by side; only the few products from segment to segment go one by one along a text.
+    """
+    e = np.exp((e - e.max(axis=2, keepdims=True)).astype(np.float64))
+    a, k = np.exp(moves.astype(np.float64)), e.shape[2]
+    through = e[:, 0, :, None] * np.eye(k)  # from the state of the first word to that of the last
+    for t in range(1, e.shape[1]):
+        on = n > t
+        now = (through[on] @ a) * e[on, t, None, :]
+        through[on] = now / now.max(axis=(1, 2), keepdims=True)
+    into, out_of = np.empty((len(e), k)), np.ones((len(e), k))
+    first, last = np.nonzero(step == 0)[0], np.nonzero(np.append(step[1:], 0) == 0)[0]
+    into[first] = np.exp(start.astype(np.float64))
+    longest = int(step.max(initial=0))
+    order = np.argsort(step, kind="stable")
+    by_step = np.split(order, np.searchsorted(step[order], np.arange(1, longest + 1)))
+    for of in by_step[1:]:
+        now = np.einsum("ni,nij->nj", into[of - 1], through[of - 1]) @ a
+        into[of] = now / now.sum(axis=1, keepdims=True)
+    left = np.zeros(len(e), np.int64)  # segments of the text after each
+    left[:] = step[last][np.searchsorted(last, np.arange(len(e)))] - step
+    order = np.argsort(left, kind="stable")
+    by_left = np.split(order, np.searchsorted(left[order], np.arange(1, longest + 1)))
+    for of in by_left[1:]:
+        now = np.einsum("nij,nj->ni", through[of + 1], out_of[of + 1]) @ a.T
+        out_of[of] = now / now.sum(axis=1, keepdims=True)
+    return into, out_of
+
+
+def forward_backward(e: np.ndarray, n: np.ndarray, moves: np.ndarray, start: np.ndarray, pairs: bool = False, into: np.ndarray | None = None, out_of: np.ndarray | None = None):
     """Marginals of chains: e is chains x steps x labels (logs), n the chains' lengths. With pairs also the expected
-    number of each move, over all chains."""
+    number of each move, over all chains. Chains that are segments of texts begin and end with the messages into and out of
+    them instead of with the start weights and with no preference."""
     e = np.exp(e - e.max(axis=2, keepdims=True))
     a, size = np.exp(moves), e.shape[1]
     alpha, beta = np.empty_like(e), np.ones_like(e)
-    now = e[:, 0] * np.exp(start)
+    if out_of is not None:
+        beta[:, -1] = out_of
+    now = e[:, 0] * (np.exp(start) if into is None else into)
     alpha[:, 0] = now / now.sum(axis=1, keepdims=True)
     for t in range(1, size):
         now = (alpha[:, t - 1] @ a) * e[:, t]
@@ -208,14 +248,20 @@ class Tagger:
         if not flat or not self.model.labels:
             return np.zeros((len(flat), len(self.model.labels))), n
         at = self.ids(flat)
-        first, size = chains(n)
+        first, size, text, step = segments(n)
         out = np.empty((len(flat), len(self.model.labels)), np.float32)
-        for i in range(0, len(first), 4096):
-            f, s = first[i : i + 4096], size[i : i + 4096]
+        ends = np.append(np.nonzero(step == 0)[0][1:], len(first))  # where texts' segments end
+        i = 0
+        while i < len(first):  # whole texts, some thousands of segments at a time
+            j = int(ends[np.searchsorted(ends, min(i + TOGETHER, len(first)))])
+            f, s = first[i:j], size[i:j]
             spot = np.minimum(f[:, None] + np.arange(CHAIN), len(flat) - 1)
-            post = forward_backward(self.table[at[spot]], s, self.model.moves, self.model.start)
+            e = self.table[at[spot]]
+            into, out_of = messages(e, s, text[i:j], step[i:j], self.model.moves, self.model.start)
+            post = forward_backward(e, s, self.model.moves, self.model.start, into=into, out_of=out_of)
             ok = np.arange(CHAIN)[None, :] < s[:, None]
             out[spot[ok]] = post[ok]
+            i = j
         return out, n
 
     def languages(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -254,8 +300,9 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         return fit([], [])
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows / n))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 20)) / (1 << 20)
-    some = may.where((draw < F.element_at(share, F.col("lang"))) & (F.length("text") <= chars))
-    found = sorted(((r.lang, r.text) for r in some.limit(2 * rows * len(counts)).toLocalIterator()))
+    some = may.withColumn("draw", draw).where((F.col("draw") < F.element_at(share, F.col("lang"))) & (F.length("text") <= chars))
+    # the least draws, so that the bound cuts the same rows whatever the order of files
+    found = sorted((r.lang, r.text) for r in some.orderBy("draw", "doc_id", F.xxhash64("text")).limit(2 * rows * len(counts)).collect())
     return fit([t for _, t in found], [x for x, _ in found])
 
 
@@ -275,8 +322,13 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_col: st
 
 
 def tag_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, words, langs, probs: each word of a text with its language and probability (code-switched text)."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """doc_id, words, langs, probs: each word of a text with its language and probability (code-switched text).
+
+    Null and empty texts, and texts without a letter, have empty arrays; so have all texts if the model knows no language,
+    but for their words. Whole texts are one chain, however long. Repeated rows are tagged each; an empty table gives an
+    empty result; other columns of docs are ignored, whatever their names.
+    """
+    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = rows.schema["doc_id"].dataType.simpleString()
 

@@ -35,6 +35,55 @@ def test_forward_backward_is_exact():
     assert np.allclose(pairs, want_pairs)
 
 
+def plain_chain(e, moves, start):
+    """Marginals of one chain, word after word."""
+    e, a = np.exp(e - e.max(axis=1, keepdims=True)), np.exp(moves)
+    alpha, beta = [e[0] * np.exp(start)], [np.ones(e.shape[1])]
+    for x in e[1:]:
+        now = (alpha[-1] @ a) * x
+        alpha.append(now / now.sum())
+    for x in e[:0:-1]:
+        now = (x * beta[-1]) @ a.T
+        beta.append(now / now.sum())
+    both = np.array(alpha) * np.array(beta[::-1])
+    return both / both.sum(axis=1, keepdims=True)
+
+
+def test_a_long_text_is_one_chain():
+    rng = np.random.default_rng(4)
+    labels, vocab = ["a", "b", "c"], [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    m = langid.Model(labels, rng.normal(size=(langid.BUCKETS, 3)).astype(np.float32) * 0.3, {}, np.zeros((1, 3), np.float32), (rng.normal(size=(3, 3)) * 2 + 3 * np.eye(3)).astype(np.float32), rng.normal(size=3).astype(np.float32))
+    texts = [[vocab[i] for i in rng.integers(0, 400, n)] for n in (200, 0, 64, 1, 65, 128, 1000, 63)]
+    post, n = langid.Tagger(m).marginals(texts)
+    parts = np.split(post, np.cumsum(n)[:-1])
+    for own, got in zip(texts, parts):
+        assert len(got) == len(own)
+        if own:
+            assert np.allclose(got, plain_chain(m.emissions(own).astype(float), m.moves.astype(float), m.start.astype(float)), atol=2e-4)
+
+
+def test_language_of_a_text_is_the_mean_over_its_distinct_words(model):
+    rng = np.random.default_rng(2)
+    vocab = sorted(model.lexicon)[::7]
+    for size in (1, 30, 300):
+        own = [vocab[i] for i in rng.integers(0, min(len(vocab), 50), size)]
+        p = plain_chain(model.emissions(own).astype(float), model.moves.astype(float), model.start.astype(float))
+        mean = np.mean([p[[i for i, w in enumerate(own) if w == kind]].mean(axis=0) for kind in sorted(set(own))], axis=0)
+        (lang,), (score,) = langid.Tagger(model).languages([" ".join(own)])
+        assert lang == model.labels[int(mean.argmax())] and abs(score - mean.max()) < 1e-3
+
+
+def test_tagged_words_of_hard_rows(spark, model):
+    got = langid.tag_words(frame(spark, ROWS, ("words", "langs", "value")), model)
+    assert got.columns == ["doc_id", "words", "langs", "probs"]
+    rows = got.collect()
+    assert sorted((str(r.doc_id), r.words) for r in rows) == sorted((str(i), langid.words(t)) for i, t, *_ in ROWS)
+    assert all(len(r.words) == len(r.langs) == len(r.probs) and all(0 <= p <= 1.0001 for p in r.probs) for r in rows)
+    assert langid.tag_words(frame(spark, []), model).count() == 0
+    nothing = langid.fit([], [])
+    assert [(r.langs, r.probs) for r in langid.tag_words(frame(spark, ROWS[:2]), nothing).collect()] == [([], [])] * 2
+
+
 def test_grams_touch_word_ends():
     hashes, begins = langid.grams(["ab", "b", "ab"])
     parts = np.split(hashes, begins[1:])
