@@ -3,7 +3,8 @@
 Paragraphs (lines) are cut in windows of words of two widths, and so are the running words of lines that no blank line
 parts, as statements are often wrapped. Each window's sparse word 1- to 3-grams (which ones it has, not how often) go
 through a multinomial logistic regression over licence families, ``unknown`` (reads like a licence, but of no family) and ``none``. Its
-probabilities are calibrated by a temperature fitted on examples that the fit did not see. A family is reported only
+probabilities are calibrated by a temperature fitted by cross-validation: whole statements, with all that is made of them,
+are left out of the fit that scores them. A family is reported only
 if its calibrated probability is high enough and one of its templates is found in the window; a window that reads like
 a licence but isn't confirmed is ``unknown``.
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import arrow_map
+from .shared import arrow_map, quoted
 
 #: Statements by which each family is granted.
 TEMPLATES: dict[str, list[str]] = {
@@ -91,11 +93,13 @@ NONE_LIKE = [
     "Permission to enter was granted by the person at the gate.", "Version 2 of the story is in the library.", "the of and to a in is you may use it", "under the law of the land", "This work is about the public and the foundation.",
 ]
 UNKNOWN, NONE = "unknown", "none"
-#: The bound of the sample of lines for ``none``: rows, lines.
-ROWS, LINES = 200, 2_000
+#: The bound of the sample of lines for ``none``: rows, lines, characters of a row.
+ROWS, LINES, CHARS = 200, 2_000, 50_000
 #: Words of the windows (each half covered by the next), what a family's probability and its template's share must be at
 #: least.
-WINDOWS, SURE, CONFIRMED = (16, 64), 0.6, 0.8
+WINDOWS, SURE, CONFIRMED = (16, 64), 0.5, 0.8
+#: Folds of the cross-validation, temperatures to choose from.
+FOLDS, TEMPERATURES = 4, np.geomspace(0.02, 20, 61)
 #: Words scored together, unless one text has more; windows scored together.
 TOGETHER, STEP = 200_000, 16_384
 WORD, TOKEN = re.compile(r"[^\W_]+"), re.compile(r"[^\W_]+|\n")
@@ -151,7 +155,8 @@ class Model:
     keys: list[np.ndarray]  # of 1-, 2- and 3-grams, sorted
     weights: list[np.ndarray]  # of each key, and a last row of zeros
     bias: np.ndarray
-    temperature: float
+    temperature: tuple[float, float]  # of licence or not, and of the families of a licence
+    reliability: tuple[float, float]  # mean gaps of the two between probability and share of right answers, on statements that the fit didn't see
     templates: dict[str, list[frozenset[int]]]
 
     def ids(self, own: Sequence[str]) -> np.ndarray:
@@ -170,9 +175,10 @@ class Model:
         return out
 
     def probabilities(self, sums: np.ndarray, size: np.ndarray) -> np.ndarray:
-        z = (sums / np.sqrt(np.maximum(size, 8))[:, None] + self.bias) / self.temperature
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        return z / z.sum(axis=1, keepdims=True)
+        """Of each class; ``none`` is the last."""
+        z = sums / np.sqrt(np.maximum(size, 8))[:, None] + self.bias
+        either, family = (softmax(x / t) for x, t in zip(two_scores(z), self.temperature))
+        return np.concatenate([either[:, :1] * family, either[:, 1:]], axis=1)
 
     def licence(self, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The calibrated probability of a licence of each window, and its class probabilities; 0 without a feature."""
@@ -296,19 +302,64 @@ def varied(text: str, rng: np.random.Generator) -> Iterator[str]:
         yield " ".join(fill[:cut] + own + fill[cut:])
 
 
-def fit(lines: Sequence[str], seed: int = 1, steps: int = 200, rate: float = 1.0, weak: float = 1e-4) -> Model:
+def weights_of(x: np.ndarray, y: np.ndarray, k: int, steps: int, rate: float, weak: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and biases of k classes, each with the same share in the loss, by full-batch steps of AdaGrad."""
+    share = (1 / np.maximum(1, np.bincount(y, minlength=k))[y] / k)[:, None].astype(np.float32)
+    hot = np.eye(k, dtype=np.float32)[y]
+    w, b = np.zeros((x.shape[1], k), np.float32), np.zeros(k, np.float32)
+    qw, qb = np.full(w.shape, 1e-8, np.float32), np.full(b.shape, 1e-8, np.float32)
+    for _ in range(steps):
+        z = x @ w + b
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        d = (p / p.sum(axis=1, keepdims=True) - hot) * share
+        dw, db = x.T @ d + weak * w / k, d.sum(axis=0)
+        qw, qb = qw + dw * dw, qb + db * db
+        w, b = w - rate * dw / np.sqrt(qw) * 0.2, b - rate * db / np.sqrt(qb) * 0.2
+    return w.astype(np.float64), b.astype(np.float64)
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def two_scores(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From the classes' scores (``none`` last) those of licence or not, and those of the families of a licence."""
+    own, most = z[:, :-1], z[:, :-1].max(axis=1, keepdims=True)
+    return np.concatenate([most + np.log(np.exp(own - most).sum(axis=1, keepdims=True)), z[:, -1:]], axis=1), own
+
+
+def calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """The temperature with the least loss over held-out scores, each class with the same share, and what gap between
+    probability and share of right answers (over ten bins of probability) it leaves."""
+    share = 1 / np.maximum(1, np.bincount(y))[y]
+    temperature = float(min(TEMPERATURES, key=lambda t: float(-(share * np.log(np.maximum(softmax(z / t)[np.arange(len(y)), y], 1e-12))).sum())))
+    p = softmax(z / temperature)
+    top, right = p.max(axis=1), p.argmax(axis=1) == y
+    bins = np.minimum((top * 10).astype(int), 9)
+    gaps = np.abs(np.bincount(bins, share * top, 10) - np.bincount(bins, share * right, 10))
+    return temperature, float(gaps.sum() / share.sum())
+
+
+def fit(lines: Sequence[str], seed: int = 1, steps: int = 200, rate: float = 1.0, weak: float = 1e-4, folds: int = FOLDS) -> Model:
     """The model from the templates and a sample of lines that are no licence."""
     rng = np.random.default_rng(seed)
     labels = [*TEMPLATES, UNKNOWN, NONE]
     vocab = {w: i for i, w in enumerate(sorted({w for group in (*TEMPLATES.values(), UNKNOWN_LIKE) for t in group for w in words(t)}), 1)}
-    base, blank = len(vocab) + 1, Model(labels, vocab, [], [], np.zeros(len(labels)), 1.0, {})
-    texts = [(v, labels.index(f)) for f, group in (*TEMPLATES.items(), (UNKNOWN, UNKNOWN_LIKE)) for t in group for v in varied(t, rng)]
-    texts += [(v, len(labels) - 1) for t in NONE_LIKE for v in varied(t, rng)]
+    base, blank = len(vocab) + 1, Model(labels, vocab, [], [], np.zeros(len(labels)), (1.0, 1.0), (0.0, 0.0), {})
+    statements = [*((t, labels.index(f)) for f, group in (*TEMPLATES.items(), (UNKNOWN, UNKNOWN_LIKE)) for t in group), *((t, len(labels) - 1) for t in NONE_LIKE)]
+    texts, fold, last = [], [], Counter()
+    for t, c in statements:  # the folds take the statements of a class in turn, each with all that is made of it
+        made = [(v, c) for v in varied(t, rng)]
+        texts += made
+        fold += [last[c] % folds] * len(made)
+        last[c] += 1
     stated = len(texts)
     order = list(vocab)  # the same words in no order, and one word again and again, are no licence
     texts += [(" ".join(order[j] for j in rng.integers(len(order), size=int(rng.integers(2, 40)))), len(labels) - 1) for _ in range(300)] + [(f"{w} " * 12, len(labels) - 1) for w in order]
     parts = [words(x)[i : i + size] for x in lines for size in WINDOWS for i in range(0, max(1, len(words(x)) - size // 2), size // 2)][:LINES]
     texts += [(" ".join(x), len(labels) - 1) for x in parts] + [("", len(labels) - 1)] * 20
+    fold = np.array(fold + [i % folds for i in range(len(texts) - len(fold))])
     ids = [blank.ids(words(t)[: max(WINDOWS)]) for t, _ in texts]
     keys = [np.unique(np.concatenate([(k := ngrams(x, n, base))[k >= 0] for x in ids[:stated]])) for n in (1, 2, 3)]  # features are what statements have
     keys = [k if len(k) else np.array([0]) for k in keys]
@@ -320,29 +371,20 @@ def fit(lines: Sequence[str], seed: int = 1, steps: int = 200, rate: float = 1.0
             x[i, first[n - 1] + np.searchsorted(k, found[np.isin(found, k)])] = 1
         x[i] /= np.sqrt(max(8, len(own)))
     y = np.array([c for _, c in texts])
-    hot, held = np.eye(len(labels))[y], rng.random(len(y)) < 0.25
-    share = 1 / np.maximum(1, np.bincount(y[~held], minlength=len(labels)))[y] / len(labels)
-    w, b = np.zeros((x.shape[1], len(labels))), np.zeros(len(labels))
-    qw, qb = np.full(w.shape, 1e-8), np.full(b.shape, 1e-8)
-    tx, th, ts = x[~held], hot[~held], share[~held][:, None]
-    for _ in range(steps):
-        z = tx @ w + b
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        d = (p / p.sum(axis=1, keepdims=True) - th) * ts
-        dw, db = tx.T @ d + weak * w / len(labels), d.sum(axis=0)
-        qw, qb = qw + dw * dw, qb + db * db
-        w, b = w - rate * dw / np.sqrt(qw) * 0.2, b - rate * db / np.sqrt(qb) * 0.2
-    z = x[held] @ w + b
-
-    def loss(t: float) -> float:
-        s = z / t
-        s = s - s.max(axis=1, keepdims=True)
-        return float(-(s - np.log(np.exp(s).sum(axis=1, keepdims=True)))[np.arange(len(s)), y[held]].mean())
-
-    temperature = float(min(np.geomspace(0.1, 4, 41), key=loss)) if held.any() else 1.0
+    held = np.zeros((len(y), len(labels)))
+    for f in range(folds if steps > 1 else 0):
+        own, b = weights_of(x[fold != f], y[fold != f], len(labels), steps, rate, weak)
+        held[fold == f] = x[fold == f] @ own + b
+    found = ((1.0, 0.0), (1.0, 0.0))
+    if steps > 1:
+        either, family = two_scores(held)
+        some = y < len(labels) - 1
+        found = calibrated(either, (~some).astype(int)), calibrated(family[some], y[some])
+    temperature, reliability = zip(*found)
+    w, b = weights_of(x, y, len(labels), steps, rate, weak)
     weights = [np.concatenate([w[first[n] : first[n + 1]], np.zeros((1, len(labels)))]) for n in range(3)]
     templates = {f: [frozenset(ngrams(blank.ids(words(t)), 2, base).tolist()) - {-1} for t in group] for f, group in TEMPLATES.items()}
-    return Model(labels, vocab, keys, weights, b, temperature, templates)
+    return Model(labels, vocab, keys, weights, b, temperature, reliability, templates)
 
 
 def blocks(text: str) -> Iterator[list[str]]:
@@ -360,11 +402,15 @@ def blocks(text: str) -> Iterator[list[str]]:
         yield held
 
 
-def learn(docs: DataFrame, text_col: str = "text", rows: int = ROWS, lines: int = LINES) -> Model:
+def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rows: int = ROWS, lines: int = LINES, chars: int = CHARS) -> Model:
     """Fits the model; lines that share half of a template's word pairs, alone or with the lines they run on with, are not
-    taken as ``none``."""
+    taken as ``none``. The sample is the rows whose ids have the least hashes, of ``chars`` characters at most, whatever the
+    order of files; ids alone are read to find them. Without ids there are no such lines."""
     plain = fit([], steps=1)
-    some = [r[0] or "" for r in docs.select(F.col(text_col).alias("text")).where(F.length("text") <= 50_000).limit(rows).toLocalIterator()]
+    ids = docs.select(quoted(id_col).alias("id")).where(F.col("id").isNotNull())
+    chosen = [r.id for r in ids.orderBy(F.xxhash64("id"), "id").limit(rows).collect()]
+    told = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).where(F.col("id").isin(chosen) & (F.length("text") <= chars))
+    some = [r.text for r in told.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(rows).collect()]
     found = []
     for block in (x for t in some for x in blocks(t)):
         if len(found) >= lines:
@@ -400,9 +446,10 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     like a licence of no confirmed family; score: the greatest calibrated probability of a licence; hits: paragraph,
     family, probability and template similarity of each family of a paragraph, or of a paragraph that is ``unknown``. A paragraph is a line with a
     word; a statement that is wrapped over lines is a hit of the one it begins in, and ends at a line without words. Null and empty texts have none; repeated rows are scanned each; an empty table gives an empty result; other
-    columns of docs are ignored.
+    columns of docs are ignored, whatever their names. Paragraphs are of any length. Of families that match the same words
+    equally well, the more probable one is told, then the one that comes first by name.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     hit = pa.struct([("paragraph", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64())])

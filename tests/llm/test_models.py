@@ -289,9 +289,9 @@ def plain_chance(m, text):
                 own, z = ids[a : a + size], m.bias.copy()
                 found = {(n, sum(x * base ** (n - 1 - j) for j, x in enumerate(g))) for n in (1, 2, 3) for i in range(len(own) - n + 1) if all(g := own[i : i + n])}
                 hit = [joined[n - 1][k] for n, k in found if k in joined[n - 1]]
-                z = (z + sum(hit, 0 * z) / math.sqrt(max(8, len(own)))) / m.temperature
-                p = np.exp(z - z.max())
-                best = max(best, 1 - (p / p.sum())[m.labels.index(licenses.NONE)]) if hit else best
+                z = z + sum(hit, 0 * z) / math.sqrt(max(8, len(own)))
+                either = np.exp(np.array([np.log(np.exp(z[:-1]).sum()), z[-1]]) / m.temperature[0])
+                best = max(best, either[0] / either.sum()) if hit else best
     return best
 
 
@@ -303,6 +303,28 @@ def test_license_scores_every_line(spark, scanner):
     assert max(r.score for r in got if r.doc_id < 2) > 0.001 and got[5].score == 0
 
 
+def test_license_calibration(scanner):
+    for t, gap in zip(scanner.temperature, scanner.reliability):
+        assert licenses.TEMPERATURES[0] < t < licenses.TEMPERATURES[-1] and 0 <= gap < 0.25
+    # held-out scores that are right three times in four are given that chance
+    z, y = np.tile([[4.0, 0.0], [0.0, 4.0]], (400, 1)), np.tile([0, 1], 400)
+    wrong = np.arange(800) % 8 < 2
+    t, gap = licenses.calibrated(np.where(wrong[:, None], z[:, ::-1], z), y)
+    assert abs(1 / (1 + math.exp(-4 / t)) - 0.75) < 0.02 and gap < 0.02
+
+
+def test_unseen_licenses_are_unknown(spark, scanner):
+    texts = ["Distributed under the Sleepycat Public License, version 9.", "Licensed under the Quux Public License, version 1.2.", "This file is released under the terms of the Frobnicate license.", "Use of this software is governed by the Zlib/Vim license agreement."]
+    got = licenses.scan(frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), scanner).collect()
+    assert all((r.licences, r.n_unknown) == ("", 1) for r in got), got
+
+
+def test_license_sample_does_not_depend_on_the_order_of_rows(spark):
+    docs = spark.read.parquet(DOCS)
+    a, b = licenses.learn(docs), licenses.learn(docs.orderBy(F.desc("doc_id")).repartition(5))
+    assert a.temperature == b.temperature and all(np.array_equal(x, y) for x, y in zip(a.weights, b.weights))
+
+
 def test_license_families_of_one_line(spark, scanner):
     noise = "zorp quil vant " * 60
     a, m, g = "Licensed under the Apache License, Version 2.0", "released under the MIT License", "released under the GNU General Public License version 2 or later"
