@@ -2,7 +2,8 @@
 
 Normalised texts are range-partitioned by splitters that Spark samples, sorted within the partitions (an external
 sort), and neighbours are compared in full. The range key is short (leading bytes and a hash), so the sampled
-splitters stay small however long the texts are; the sort key and the comparison are the whole text.
+splitters stay small however long the texts are; the sort key and the comparison are the whole text. Texts are read and
+normalised once and written to the shared folder; splitters, frequent texts and the sort take them from there.
 
 A text that holds a large share of all rows would fill one range. Such texts are found in a bounded sample and
 get more than one range (a salt); only their few partial results, one for each salt, are then merged by digest.
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import materialise, n_parts
+from .shared import materialise, n_parts, quoted
 
 #: What normalisation deletes: space and the five ASCII controls from tab to carriage return.
 DELETED = r"[\x20\x09-\x0D]+"
@@ -27,12 +28,14 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), DELETED, "")
 
 
-def frequent_texts(docs: DataFrame, text: str, parts: int, rows: int, sample_rows: int = SAMPLE_ROWS) -> list[tuple[int, int]]:
-    """(hash, salts) of texts with over half a partition's share of rows, as a sample shows; 2 * parts entries at most."""
+def frequent_texts(work: DataFrame, parts: int, sample_rows: int = SAMPLE_ROWS) -> list[tuple[int, int]]:
+    """(hash, salts) of texts with over half a partition's share of rows, as a sample shows; 2 * parts entries at most.
+    Only the rows' numbers and hashes are read."""
+    rows = work.count()
     step = max(1, rows // sample_rows)
-    seen = docs.where(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(step)) == 0) if step > 1 else docs
+    seen = work.where(F.pmod(F.xxhash64("row"), F.lit(step)) == 0) if step > 1 else work
     floor = max(SIGHTINGS, -(-min(rows, sample_rows) // (2 * parts)))
-    found = seen.groupBy(F.xxhash64(normalised(F.col(text))).alias("h")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= floor).orderBy(F.desc("n")).limit(2 * parts).collect()
+    found = seen.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= floor).orderBy(F.desc("n"), "h").limit(2 * parts).collect()
     return [(r.h, 1 + -(-r.n // floor)) for r in found]
 
 
@@ -49,14 +52,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     parts = parts or n_parts(spark)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    hot = frequent_texts(rows, "text", parts, rows.count(), sample_rows)
+    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).alias("text"))
     work = rows.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n"), normalised(F.col("text")).alias("norm"))
-    work = work.withColumns({"lead": F.substring("norm", 1, LEAD), "h": F.xxhash64("norm")})
+    work = materialise(work.withColumns({"lead": F.substring("norm", 1, LEAD), "h": F.xxhash64("norm"), "row": F.monotonically_increasing_id()}), "exact-norm")
+    hot = frequent_texts(work, parts, sample_rows)
     extra = []
     if hot:
         salts = F.broadcast(spark.createDataFrame(hot, "h long, salts int"))
-        salt = F.coalesce(F.pmod(F.xxhash64("doc_id", "n"), F.col("salts")), F.lit(0))
+        salt = F.coalesce(F.pmod(F.xxhash64("row"), F.col("salts")), F.lit(0))
         work = work.join(salts, "h", "left").withColumn("salt", salt.cast("int"))
         extra = ["salt"]
     # the windows' keys hold the range's, so what the range put together is not dealt again

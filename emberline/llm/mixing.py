@@ -5,6 +5,10 @@ the running sum over the buckets finds the bucket in which the source's budget i
 summed again by its next bits, and so on, until the bucket is a single hash value in practice. What is left is one
 threshold for each source, and a filter on the hash; nothing is sorted and no text is shuffled. Budgets are nested:
 a larger budget of the same source takes a superset of a smaller one's documents.
+
+There may be any number of sources: sums, targets and thresholds are tables with a row for each source, and the driver gets
+only sums over all of them. Spark sends such a table to all tasks while it is below its broadcast limit
+(spark.sql.autoBroadcastJoinThreshold; the tables are files, so their sizes are known) and joins by source beyond it.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import arrow_map, materialise, named
+from .shared import TASK_BITS, arrow_map, materialise, named, quoted
 
 #: Bits of a bucket at each level; the last level's buckets hold 2**-48 of a source.
 LEVELS = (12, 12, 12, 12)
@@ -50,27 +54,42 @@ def count_words(col: pa.Array) -> np.ndarray:
     return out
 
 
-def targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE, most: float = MOST) -> list[float]:
-    """The sources' targets: shares of share * sum(sizes) by weight, none above most * its size; the excess is
-    shared anew by weight among the others until none is above."""
-    total, open_ = share * sum(sizes), [i for i, s in enumerate(sizes) if s > 0 and weights[i] > 0]
-    out = [0.0] * len(sizes)
-    while open_:
-        unit = total / sum(weights[i] for i in open_)
-        over = [i for i in open_ if weights[i] * unit > most * sizes[i]]
-        for i in over or open_:
-            out[i] = most * sizes[i] if over else weights[i] * unit
-        if not over:
-            break
-        total -= sum(out[i] for i in over)
-        gone = set(over)
-        open_ = [i for i in open_ if i not in gone]
-    return out
+def weighted(sums: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """sums (source, size) with the weight of each source: the weights in turn over the sources in order of their code
+    points, null last. The driver gets one number for each partition."""
+    order = [F.col("source").isNull(), F.col("source")]
+    ordered = sums.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialise(ordered.withColumn("at", F.monotonically_increasing_id()), "mix-sources")
+    task, before, offsets = F.shiftright("at", TASK_BITS), 0, []
+    for p, n in sorted(map(tuple, placed.groupBy(task.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())):
+        offsets += [F.lit(p), F.lit(before)]
+        before += n
+    rank = F.element_at(F.create_map(*offsets), task) + F.col("at").bitwiseAND(F.lit((1 << TASK_BITS) - 1)) if offsets else F.lit(0)
+    turn = F.array(*[F.lit(float(w)) for w in weights])
+    return placed.withColumn("weight", F.get(turn, (rank % len(weights)).cast("int"))).drop("at")
+
+
+def with_targets(sources: DataFrame, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """sources (source, size, weight) with their targets: shares of share * sum(sizes) by weight, none above most * its
+    size; the excess is shared anew by weight among the others until none is above.
+
+    What a weight of 1 gets only grows from round to round, so it alone says which sources are full; a round is one
+    aggregation.
+    """
+    shares = (F.col("size") > 0) & (F.col("weight") > 0)
+    total = share * (sources.where(shares | (F.col("size") > 0)).agg(F.sum("size")).first()[0] or 0)
+    unit, last = 0.0, None
+    while unit != last:
+        last = unit
+        full = F.col("weight") * F.lit(unit) > F.lit(most) * F.col("size")
+        held, left = sources.where(shares).agg(F.coalesce(F.sum(F.when(full, F.lit(most) * F.col("size"))), F.lit(0.0)), F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0))).first()
+        unit = max(unit, (total - held) / left) if left else float("inf")
+    return sources.withColumn("target", F.when(shares, F.least(F.col("weight") * F.lit(unit), F.lit(most) * F.col("size"))).otherwise(F.lit(0.0)))
 
 
 def sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     """doc_id, source, size, h: one small row for each document, written to the shared folder."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    rows = docs.select(quoted(id_col).alias("doc_id"), quoted(source_col).alias("source"), quoted(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -90,37 +109,36 @@ def bucket(bits_before: int, bits: int) -> Column:
     return F.shiftrightunsigned("h", 64 - bits_before - bits).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def thresholds(sizes: DataFrame, budgets: dict[str | None, float], levels: Sequence[int] = LEVELS) -> dict[str | None, int]:
-    """For each source the prefix (of sum(levels) bits) below which its documents fill its budget, which is above 0
-    and below its size. One aggregation for each level; the driver gets one row for each source and level."""
-    spark, left, before = sizes.sparkSession, {k: (0, float(v)) for k, v in budgets.items() if v > 0}, 0
-    for bits in levels if left else ():
-        edge = F.broadcast(spark.createDataFrame([(k, p, v) for k, (p, v) in left.items()], "s string, p long, left double"))
+def thresholds(sizes: DataFrame, budgets: DataFrame, levels: Sequence[int] = LEVELS) -> DataFrame:
+    """source, prefix: for each source the prefix (of sum(levels) bits) below which its documents fill its budget, from
+    budgets (source, left), which are above 0 and below the source's size. One aggregation for each level; a source has at
+    most 2 ** bits rows in it."""
+    before, whole = 0, sum(levels)
+    state = budgets.select(F.col("source").alias("s"), F.lit(0).cast("long").alias("p"), F.col("left").cast("double").alias("left"))
+    for bits in levels:
         prefix = F.shiftrightunsigned("h", 64 - before) if before else F.lit(0)
         cells = sizes.select("source", "size", prefix.alias("prefix"), bucket(before, bits).alias("b"))
-        inside = cells.join(edge, cells["source"].eqNullSafe(edge["s"]) & (cells["prefix"] == edge["p"]))
-        hist = inside.groupBy("s", "left", "b").agg(F.sum("size").alias("size"))
-        run = hist.withColumn("upto", F.sum("size").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)))
-        reached = run.where(F.col("upto") > F.col("left")).groupBy("s").agg(F.min(F.struct("b", "upto", "size")).alias("cell"))
+        inside = cells.join(state, cells["source"].eqNullSafe(state["s"]) & (cells["prefix"] == state["p"]))
+        hist = inside.groupBy("s", "p", "left", "b").agg(F.sum("size").alias("size"))
+        upto = F.sum("size").over(Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
+        reached = hist.withColumn("upto", upto).where(F.col("upto") > F.col("left")).groupBy("s", "p", "left").agg(F.min(F.struct("b", "upto", "size")).alias("cell"))
         before += bits
-        for s, (b, upto, size) in reached.collect():
-            p, v = left[s]
-            v -= upto - size
-            # at the last level the boundary cell goes in whole if that brings the sum nearer to the budget
-            left[s] = ((p << bits) + b + (before == sum(levels) and size - v < v), v)
-    return {s: p for s, (p, _) in left.items()}
+        left = F.col("left") - F.col("cell.upto") + F.col("cell.size")
+        # at the last level the boundary cell goes in whole if that brings the sum nearer to the budget
+        more = (F.col("cell.size") - left < left).cast("long") if before == whole else F.lit(0)
+        state = materialise(reached.select("s", (F.shiftleft("p", bits) + F.col("cell.b") + more).alias("p"), left.alias("left")), "mix-level")
+    return state.select(F.col("s").alias("source"), F.col("p").alias("prefix"))
 
 
 def mix_plan(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, levels: Sequence[int] = LEVELS) -> DataFrame:
-    """source, source_size, target, repeats, prefix: one row for each source. The weight list is configuration for the
-    sources, so one row for each source goes to the driver; nothing there grows with the documents."""
-    sums = {r.source: r.size for r in sizes.groupBy("source").agg(F.sum("size").alias("size")).collect()}
-    order = sorted(sums, key=lambda s: (s is None, s or ""))
-    want = targets([sums[s] for s in order], [weights[i % len(weights)] for i in range(len(order))], share, most)
-    repeats = {s: int(t // sums[s]) if sums[s] else 0 for s, t in zip(order, want)}
-    cut = thresholds(sizes, {s: t - repeats[s] * sums[s] for s, t in zip(order, want)}, levels)
-    rows = [(s, int(sums[s]), float(t), repeats[s], cut.get(s, 0)) for s, t in zip(order, want)]
-    return sizes.sparkSession.createDataFrame(rows, "source string, source_size long, target double, repeats int, prefix long")
+    """source, source_size, target, repeats, prefix: one row for each source."""
+    sums = sizes.groupBy("source").agg(F.sum("size").alias("size"))
+    want = with_targets(weighted(sums, weights), share, most)
+    repeats = F.when(F.col("size") > 0, F.floor(F.col("target") / F.col("size"))).otherwise(F.lit(0)).cast("int")
+    want = materialise(want.withColumn("repeats", repeats).withColumn("left", F.col("target") - F.col("repeats") * F.col("size")), "mix-targets")
+    cut = thresholds(sizes, want.where("left > 0").select("source", "left"), levels).withColumnRenamed("source", "s")
+    both = want.join(cut, F.col("source").eqNullSafe(F.col("s")), "left")
+    return materialise(both.select("source", F.col("size").alias("source_size"), "target", "repeats", F.coalesce("prefix", F.lit(0)).alias("prefix")), "mix-plan")
 
 
 def copies(levels: Sequence[int] = LEVELS) -> Column:
@@ -137,15 +155,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     are not taken. An empty table gives an empty result; other columns of docs are ignored.
     """
     sizes = sized(docs, id_col, source_col, text_col)
-    plan = F.broadcast(mix_plan(sizes, weights, share, most, levels)).alias("p")
+    plan = mix_plan(sizes, weights, share, most, levels).alias("p")
     both = sizes.alias("d").join(plan, F.col("d.source").eqNullSafe(F.col("p.source")))
     return both.select("doc_id", "size", "source_size", "target", copies(levels).alias("copies")).withColumn("taken", F.col("size") * F.col("copies"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The documents that the mix takes, with all their columns, each as often as it is taken."""
+    """The documents that the mix takes, with all their columns, each as often as it is taken.
+
+    Null texts have no words but are taken by their hash like others of their source; documents of one hash (repeated ids, null
+    ids) are taken or left together; sources without words are not taken; an empty table gives an empty result. Columns may
+    have any names.
+    """
     plan = mix_plan(sized(docs, id_col, source_col, text_col)).select("source", "repeats", "prefix")
     keyed = docs.select(F.struct(*named(docs)).alias("row"), F.col(source_col).alias("s"), F.col(id_col).alias("doc_id")).withColumn("h", hashed())
-    both = keyed.join(F.broadcast(plan), F.col("s").eqNullSafe(F.col("source")))
+    both = keyed.join(plan, F.col("s").eqNullSafe(F.col("source")))
     often = both.select("row", F.explode(F.array_repeat(F.lit(1), copies())))
     return often.select("row.*")

@@ -218,6 +218,21 @@ def test_mixing(spark, rows):
     assert sorted(map(tuple, mixing.mix(frame(spark, rows)).collect()), key=str) == sorted(map(tuple, got), key=str)
 
 
+def test_mixing_of_many_sources_without_broadcast(spark):
+    rows = [(i, "w " * (i % 9 + 1), None, f"s{i % 300}" if i % 3 else "hot", 0) for i in range(1500)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted(map(tuple, mixing.mix(frame(spark, rows)).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = mixing.mix(frame(spark, rows))
+        assert sorted(map(tuple, df.collect())) == want and "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sizes, target, _ = plain_mix(rows)
+    by_id = {i: s for i, _, _, s, _ in rows}
+    assert all(abs(r[3] - target[by_id[r[0]]]) < 1e-6 and r[2] == sizes[by_id[r[0]]] for r in want)
+
+
 def test_mixing_is_near_its_targets(spark):
     docs = spark.read.parquet(DOCS)
     got = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("most")).collect()
@@ -227,7 +242,10 @@ def test_mixing_is_near_its_targets(spark):
 def test_mixing_edges(spark):
     assert mixing.mix(frame(spark, [])).count() == 0
     assert [r.taken for r in mixing.mix(frame(spark, [(1, None, None, "a", 0), (2, " ", None, None, 0)])).collect()] == [0, 0]
-    assert mixing.targets([10, 10, 0], [3, 1, 2]) == [20.0, 10.0, 0.0]
+    sources = spark.createDataFrame([("a", 10, 3.0), ("b", 10, 1.0), ("c", 0, 2.0)], "source string, size long, weight double")
+    assert [r.target for r in mixing.with_targets(sources).orderBy("source").collect()] == [20.0, 10.0, 0.0]
+    full = mixing.with_targets(sources.where("size > 0"), share=5.0)
+    assert [r.target for r in full.orderBy("source").collect()] == [20.0, 20.0]
     docs = frame(spark, ROWS, ("copies", "row"))
     kept = mixing.mixed(docs)
     assert kept.columns == docs.columns
