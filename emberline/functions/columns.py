@@ -117,6 +117,25 @@ def ring_centroid(ring: Column) -> Column:
     return F.struct((total(lambda c: c["w"] * c["x"]) / weight).alias("lon"), (total(lambda c: c["w"] * c["y"]) / weight).alias("lat"))
 
 
+def rounded_ring(ring: Column, digits: int = 3) -> Column:
+    """A ring (array of lon, lat) with rounded places, each place once in a row; null if fewer than four are left, as such a
+    ring has no area."""
+    places = F.transform(ring, lambda p: F.struct(F.round(p["lon"], digits).alias("lon"), F.round(p["lat"], digits).alias("lat")))
+    once = F.filter(places, lambda p, i: (i == 0) | (p != F.get(places, i - 1)))
+    return F.when(F.size(once) >= 4, once)
+
+
+def kept_rings(rings: Column, least: float, digits: int = 3) -> Column:
+    """Of an array of rings those of at least an area, rounded, largest first."""
+    sized = F.transform(F.filter(rings, lambda r: ring_area(r) >= least), lambda r: F.struct((-ring_area(r)).alias("a"), rounded_ring(r, digits).alias("r")))
+    return F.transform(F.filter(F.array_sort(sized), lambda s: s["r"].isNotNull()), lambda s: s["r"])
+
+
+def local_time(at: Column, minutes: int = 330) -> Column:
+    """A UTC time on a clock that is minutes ahead (India: 5 hours and a half)."""
+    return at + F.make_dt_interval(mins=F.lit(minutes))
+
+
 def tile_name(lat: Num, lon: Num) -> Column:
     """Name of the 3-degree land-cover tile."""
     south, west = (F.floor(col(lat) / 3) * 3).cast("int"), (F.floor(col(lon) / 3) * 3).cast("int")

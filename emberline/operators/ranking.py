@@ -49,8 +49,9 @@ def top_per_class(df: DataFrame, caps: dict[str, int] = CLASS_CAPS, classes: Seq
 
 
 def sample_per_class(df: DataFrame, caps: dict[str, int] = CLASS_CAPS, classes: Sequence[str] = VEGETATION, seed: int = 7) -> DataFrame:
-    """A uniform sample without replacement of each class, by the order of a seeded hash of the key: reruns agree."""
-    return top_per_class(df.withColumn("draw", F.xxhash64(F.lit(seed), *EPISODE)), caps, classes, "draw").drop("draw")
+    """A uniform sample without replacement of each class, by the order of a seeded digest of the key: reruns agree."""
+    draw = F.md5(F.concat_ws("/", F.lit(str(seed)), *[F.col(c).cast("string") for c in EPISODE]))
+    return top_per_class(df.withColumn("draw", draw), caps, classes, "draw").drop("draw")
 
 
 def selection(df: DataFrame) -> DataFrame:

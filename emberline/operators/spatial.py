@@ -9,21 +9,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import box_metres, metres, tile_name, within
 from ..schema import CANDIDATES, CATEGORIES, HOT_CATEGORIES, M_LON, NAMED_CATEGORIES, POP_WINDOW
+from ..tables import materialise
 from .detections import SITE
 
-#: Features that go to every executor at most; beyond that the bucket join is taken.
-BROADCAST_FEATURES = 20_000
+#: Polygons that go to every executor at most, and boxes of all categories together (and bytes of their names): each site
+#: looks at every box that it gets that way. Categories beyond that are joined by buckets.
+BROADCAST_FEATURES, BROADCAST_BOXES, BROADCAST_BYTES = 20_000, 2_000, 8 << 20
 
 
-def nearest_boxes(sites: DataFrame, boxes: DataFrame, categories: Sequence[str] = CATEGORIES, named: Sequence[str] = NAMED_CATEGORIES, k: int = CANDIDATES, most: int = BROADCAST_FEATURES) -> DataFrame:
+def nearest_boxes(sites: DataFrame, boxes: DataFrame, categories: Sequence[str] = CATEGORIES, named: Sequence[str] = NAMED_CATEGORIES, k: int = CANDIDATES, most: int = BROADCAST_BOXES, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """sites with d_<category> (and name_<category>): of the k nearest centroids of a category, the nearest box.
 
     Ties go to the nearer centroid, then to the smaller key. A category without boxes has distance infinity and no
-    name. Up to ``most`` boxes go to the executors as one row of arrays, and sites aren't shuffled; more boxes are
-    joined by buckets.
+    name. The smallest categories, up to ``most`` boxes and ``most_bytes`` of names together, go to the executors as one row
+    of arrays, and sites aren't shuffled for them; the others are joined by buckets.
     """
-    few = boxes.limit(most + 1).count() <= most
-    return (near_by_arrays if few else near_by_buckets)(sites, boxes, categories, named, k)
+    size = F.coalesce(F.sum(F.octet_length(F.col("name") if dict(boxes.dtypes)["name"] == "string" else F.to_json("name"))), F.lit(0))
+    own = boxes.where(F.col("category").isin(*categories)).groupBy("category").agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).collect()
+    counts = {r.category: (r.n, r.bytes) for r in own}
+    few, n, held = [], 0, 0
+    for c in sorted(categories, key=lambda c: (counts.get(c, (0, 0)), c)):
+        n, held = n + counts.get(c, (0, 0))[0], held + counts.get(c, (0, 0))[1]
+        if n <= most and held <= most_bytes:
+            few.append(c)
+    small, large = [c for c in categories if c in few], [c for c in categories if c not in few]
+    out = near_by_arrays(sites, boxes, small, named, k) if small else sites
+    return near_by_buckets(out, boxes, large, named, k, max(counts[c][0] for c in large)) if large else out
 
 
 def with_nearest(df: DataFrame, best: dict[str, Column], named: Sequence[str]) -> DataFrame:
@@ -34,7 +45,7 @@ def with_nearest(df: DataFrame, best: dict[str, Column], named: Sequence[str]) -
 def near_by_arrays(sites: DataFrame, boxes: DataFrame, categories: Sequence[str], named: Sequence[str], k: int) -> DataFrame:
     fields = ["latitude", "longitude", "min_lat", "min_lon", "max_lat", "max_lon", "key", "name"]
     per = [F.collect_list(F.when(F.col("category") == c, F.struct(*fields))) for c in categories]
-    row = F.broadcast(boxes.agg(F.array(*per).alias("__boxes")))
+    row = F.broadcast(boxes.where(F.col("category").isin(*categories)).agg(F.array(*per).alias("__boxes")))
     lat, lon = F.col("latitude"), F.col("longitude")
 
     def best(own: Column) -> Column:
@@ -53,32 +64,37 @@ def near_by_arrays(sites: DataFrame, boxes: DataFrame, categories: Sequence[str]
     return out.drop("__boxes", "__best")
 
 
-def near_by_buckets(sites: DataFrame, boxes: DataFrame, categories: Sequence[str], named: Sequence[str], k: int, step: float = 0.25) -> DataFrame:
-    """Equi-join on buckets of ``step`` degrees and their neighbours; sites whose k-th centroid isn't surely among those
-    go on with buckets twice as wide, until the buckets are as wide as the extent."""
+def near_by_buckets(sites: DataFrame, boxes: DataFrame, categories: Sequence[str], named: Sequence[str], k: int, most: int) -> DataFrame:
+    """Equi-join on buckets and their neighbours; what isn't surely among those (a site's k-th centroid of a category) goes on
+    with buckets twice as wide, until the buckets are as wide as the extent. The first width lets the largest category
+    (``most`` boxes) have about 2 * k of its boxes in a bucket's neighbourhood if they lie evenly. A round's results and what is left are
+    written, so that no plan grows with the rounds."""
     ends = boxes.agg(F.min("latitude").alias("s"), F.max("latitude").alias("n"), F.min("longitude").alias("w"), F.max("longitude").alias("e")).unionByName(
         sites.agg(F.min("latitude").alias("s"), F.max("latitude").alias("n"), F.min("longitude").alias("w"), F.max("longitude").alias("e"))
     ).agg(F.min("s"), F.max("n"), F.min("w"), F.max("e")).first()
     extent = max(ends[1] - ends[0], ends[3] - ends[2]) if ends and ends[0] is not None else 0.0
+    step = max(0.02, extent * (2 * k / (9 * most)) ** 0.5)
     bucket = lambda c, s: F.floor(F.col(c) / s).cast("int")
     cats = F.explode(F.array(*[F.lit(c) for c in categories])).alias("category")
-    left = sites.select(*SITE, "latitude", "longitude", cats)
+    near_by = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("o")
+    left = materialise(sites.select(*SITE, "latitude", "longitude", cats), "near-left")
     found = None
     while True:
         last = step > extent
-        around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("o")
-        q = left.select("*", around).select(*SITE, "latitude", "longitude", "category", (bucket("latitude", step) + F.col("o.i")).alias("by"), (bucket("longitude", step) + F.col("o.j")).alias("bx"))
+        q = left.select("*", near_by).select(*SITE, "latitude", "longitude", "category", (bucket("latitude", step) + F.col("o.i")).alias("by"), (bucket("longitude", step) + F.col("o.j")).alias("bx"))
         f = boxes.select("category", "key", "name", F.col("latitude").alias("flat"), F.col("longitude").alias("flon"), "min_lat", "min_lon", "max_lat", "max_lon", bucket("latitude", step).alias("by"), bucket("longitude", step).alias("bx"))
         near = q.join(f, ["category", "by", "bx"]).select(*SITE, "category", "key", "name", metres("latitude", "longitude", "flat", "flon").alias("cd"), box_metres("latitude", "longitude", "min_lat", "min_lon", "max_lat", "max_lon").alias("d"))
         rank = F.row_number().over(Window.partitionBy(*SITE, "category").orderBy("cd", "key"))
         top = near.withColumn("rank", rank).where(F.col("rank") <= k).groupBy(*SITE, "category").agg(
             F.count(F.lit(1)).alias("n"), F.max("cd").alias("reach"), F.min(F.struct("d", "cd", "key", "name")).alias("best"))
         sure = F.lit(True) if last else (F.col("n") == k) & (F.col("reach") <= step * M_LON)
-        done = top.where(sure).select(*SITE, "category", "best")
+        done = materialise(top.where(sure).select(*SITE, "category", "best"), "near-done")
         found = done if found is None else found.unionByName(done)
         if last:
             break
-        left = left.join(done.select(*SITE, "category"), [*SITE, "category"], "left_anti")
+        left = materialise(left.join(done.select(*SITE, "category"), [*SITE, "category"], "left_anti"), "near-left")
+        if left.isEmpty():
+            break
         step *= 2
     per = found.groupBy(*SITE).agg(*[F.first(F.when(F.col("category") == c, F.col("best")), ignorenulls=True).alias(f"best_{c}") for c in categories])
     return with_nearest(sites.join(per, SITE, "left"), {c: F.col(f"best_{c}") for c in categories}, named).drop(*[f"best_{c}" for c in categories])
@@ -90,7 +106,7 @@ def with_hot(df: DataFrame, categories: Sequence[str] = HOT_CATEGORIES) -> DataF
     return df.withColumn("hot", best).withColumns({"d_industrial_hot": F.col("hot.d"), "nearest_hot_category": F.col("hot.c")}).drop("hot")
 
 
-def nearest_point(sites: DataFrame, points: DataFrame, attributes: Sequence[str], distance: str, most: int = BROADCAST_FEATURES) -> DataFrame:
+def nearest_point(sites: DataFrame, points: DataFrame, attributes: Sequence[str], distance: str, most: int = BROADCAST_BOXES) -> DataFrame:
     """sites with the distance to the nearest point and its attributes: k = 1 over features that are points."""
     boxes = points.select("latitude", "longitude", *[F.col(a).alias(b) for a, b in zip(("latitude", "longitude") * 2, ("min_lat", "min_lon", "max_lat", "max_lon"))], "key", F.lit("point").alias("category"), F.struct(*attributes).alias("name"))
     out = nearest_boxes(sites, boxes, ["point"], ["point"], 1, most)

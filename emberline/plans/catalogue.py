@@ -11,7 +11,8 @@ from ..functions import columns as x
 from ..operators import detections as d, model as m, ranking as k, spatial as s, verdict as v
 from ..schema import CATEGORIES, CLASSES, HOT_CATEGORIES, INCIDENTS, OSM
 from ..sources import readers, sinks
-from . import sql as q, surrogate as g
+from ..tables import materialise, new_path
+from . import files, sql as q, surrogate as g
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -252,9 +253,23 @@ def topk_per_class(spark, sf_dir):
     return k.top_per_class(g.judged(spark, sf_dir))
 
 
-@query()
+@query(f"{KEYS} final_class:s priority:d", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY final_class ORDER BY md5('7/' || cell_lat || '/' || cell_lon || '/' || episode_seq) DESC, cell_lat, cell_lon, episode_seq) AS place FROM judged WHERE final_class IN ('agri_burn', 'wildfire')) WHERE place <= 2000", "judged")
 def sample_per_class(spark, sf_dir):
-    return shape(k.sample_per_class(g.judged(spark, sf_dir)), f"{KEYS} final_class:s priority:d")
+    return k.sample_per_class(g.judged(spark, sf_dir))
+
+
+@query("rule_class:s start:t episodes:i detections:i nights:i frp:d near:i", "SELECT rule_class, min(\"start\") AS start, count(*) AS episodes, sum(n_detections) AS detections, sum(n_nights) AS nights, max(frp_max) AS frp, sum(CASE WHEN d_industrial_hot < 5000 THEN 1 ELSE 0 END) AS near FROM star GROUP BY 1", "star")
+def events_by_files(spark, sf_dir):
+    """Detections written as raw files of text, read back, sessionized and classified, written as events and read again."""
+    raw, events = new_path(spark, "raw"), new_path(spark, "events")
+    g.raw_detections(spark, sf_dir).write.csv(raw, header=True)
+    det = files.episodes(spark, f"{raw}/*.csv")
+    e = d.episode_features(det).join(g.sites(spark, sf_dir, det).drop("latitude", "longitude"), d.SITE, "left")
+    sinks.write_events(v.with_rules(e.withColumn("label", v.weak_label())), events)
+    back = readers.read_events(spark, events)
+    return back.groupBy("rule_class").agg(
+        F.min("start").alias("start"), F.count(F.lit(1)).alias("episodes"), F.sum("n_detections").alias("detections"), F.sum("n_nights").alias("nights"),
+        F.max("frp_max").alias("frp"), F.count_if(F.col("d_industrial_hot") < 5000).alias("near"))
 
 
 CODE = "coalesce(list_position(vocab.{v}, {c}), 0) - 1"
@@ -467,26 +482,26 @@ def dissolve_edges(spark, sf_dir):
 
 @query()
 def model_score(spark, sf_dir):
-    e = g.star(spark, sf_dir).cache()
+    e = materialise(g.star(spark, sf_dir), "star")
     fitted = m.fit(m.holdout(e).where("NOT is_test"), m.BURN_FEATURES)
     return v.with_verdict(m.score(e, fitted)).select("cell_lat", "cell_lon", "episode_seq", "label", "model_class", "model_confidence", "final_class", "model_agrees", "needs_review", "review_reason")
 
 
 @query()
 def model_holdout(spark, sf_dir):
-    e = g.star(spark, sf_dir).cache()
+    e = materialise(g.star(spark, sf_dir), "star")
     kinds = (("site", m.site_holdout(e)), ("time", m.time_holdout(e)), ("leak_control", m.leak_control(e)))
     return s.union_all([r.withColumn("split", F.lit(n)) for n, r in kinds if r is not None])
 
 
 @query()
 def model_importance(spark, sf_dir):
-    return m.importance(g.star(spark, sf_dir).cache())
+    return m.importance(materialise(g.star(spark, sf_dir), "star"))
 
 
 @query()
 def bundle_json(spark, sf_dir):
-    return k.bundle(g.judged(spark, sf_dir).where(v.inside(False)).cache(), [n for n, _ in g.STATES])
+    return k.bundle(materialise(g.judged(spark, sf_dir).where(v.inside(False)), "judged"), [n for n, _ in g.STATES])
 
 
 def queries() -> dict[str, Run]:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.columns import category, cell, extent_metres, kept_tags, landcover_name, number
-from ..operators.detections import clean, union_dialects
+from ..operators.detections import clean
 from ..schema import DETECTION_COLUMNS, FOOTPRINTS, LANDCOVER, OSM, RENAMED
 
 
@@ -23,32 +24,75 @@ def files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in found or [])
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """A file's first line, uncompressed if its name says that it is compressed; None of an empty file. Only the file's
+    beginning is read, without a Spark job."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    raw = jpath.getFileSystem(conf).open(jpath)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(jpath)
+        stream = codec.createInputStream(raw) if codec is not None else raw
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        raw.close()
+
+
+def headers(spark: SparkSession, paths: Sequence[str], at_once: int = 16) -> dict[tuple[str, ...], list[str]]:
+    """The files (but empty ones) by their header, some files looked at together."""
+    with ThreadPoolExecutor(at_once) as pool:
+        heads = list(pool.map(lambda f: first_line(spark, f), paths))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for f, head in zip(paths, heads):
+        if head is not None:
+            out.setdefault(tuple(x.strip().strip('"') for x in head.lstrip("\ufeff").split(",")), []).append(f)
+    return out
+
+
 def read_detections(spark: SparkSession, pattern: str, with_file: bool = False) -> DataFrame:
-    """All files of the pattern in one dialect, cleaned. Files of one header are one scan; only known columns are read."""
+    """All files of the pattern in one dialect, cleaned. Files of one header are one scan; only known columns are read.
+    Files without any row give none."""
     found = files(spark, pattern)
     if not found:
         raise FileNotFoundError(f"no detections matched {pattern!r}")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for f in found:
-        head = spark.read.text(f).limit(1).collect()
-        if head:  # an empty file has no rows
-            by_header.setdefault(tuple(x.strip().strip('"') for x in head[0].value.lstrip("﻿").split(",")), []).append(f)
     known = {*DETECTION_COLUMNS, *RENAMED}
+    name = [F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("src_file")] if with_file else []
     frames = []
-    for header, paths in by_header.items():
+    for header, paths in headers(spark, found).items():
         df = spark.read.schema(texts(header)).option("mode", "DROPMALFORMED").csv(paths, header=True)
-        df = df.select(*[c for c in header if c in known], *([F.element_at(F.split(F.input_file_name(), "/"), -1).alias("src_file")] if with_file else []))
-        src = df.select("src_file") if with_file else None
-        frames.append(df if src is not None else df)
-    if not with_file:
-        return clean(union_dialects(*frames))
-    renamed = [f.withColumnsRenamed({a: b for a, b in RENAMED.items() if a in f.columns and "bright_ti4" not in f.columns}) for f in frames]
-    out = renamed[0]
-    for f in renamed[1:]:
+        df = df.select(*[c for c in header if c in known], *name)
+        renamed = {a: b for a, b in RENAMED.items() if a in df.columns and "bright_ti4" not in df.columns}
+        frames.append(df.withColumnsRenamed(renamed))
+    if not frames:
+        frames = [spark.createDataFrame([], texts([*DETECTION_COLUMNS, *(["src_file"] if with_file else [])]))]
+    out = frames[0]
+    for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return clean(out)
 
 
+#: Types of the columns that written events have; all others (p_<class> too) are doubles.
+EVENT_TYPES = {
+    "int": ["cell_lat", "cell_lon", "episode_seq", "duration_days"], "bigint": ["n_detections", "n_nights", "site_nights"], "date": ["start", "end"],
+    "boolean": ["model_agrees", "needs_review", "in_india"],
+    "string": ["landcover", "nearest_hot_category", "wri_fuel", "label", "rule_class", "rule_reason", "model_class", "review_reason", "final_class", "final_source"],
+}
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """Events as they were written, with their types: the hand-over from classification to the dashboard."""
+    parts = [f for f in files(spark, f"{path}/*.csv*") or files(spark, path)]
+    by_header = headers(spark, parts)
+    if not by_header:
+        raise FileNotFoundError(f"no events at {path!r}")
+    kind = {c: t for t, columns in EVENT_TYPES.items() for c in columns}
+    frames = [spark.read.schema(", ".join(f"`{c}` {kind.get(c, 'double')}" for c in header)).csv(own, header=True) for header, own in by_header.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def read_footprints(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FOOTPRINTS).csv(path, header=True)
 

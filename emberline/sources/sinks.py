@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.model import Fitted
 from ..operators.ranking import top
 from ..operators.verdict import incidents, slim, triage_priority
+from ..schema import FOOTPRINTS
 
+#: The columns of the events file, in its order.
 EVENT_COLUMNS = [
     "cell_lat", "cell_lon", "episode_seq", "latitude", "longitude", "start", "end", "duration_days", "n_detections", "n_nights", "frp_max", "frp_mean", "frp_trend",
     "hot_delta", "night_ratio", "site_nights", "site_duty_cycle", "landcover", "d_industrial_hot", "nearest_hot_category", "d_mining", "d_wri_plant", "wri_fuel", "pop_9km",
@@ -48,6 +50,25 @@ def write_cells(stats: DataFrame, path: str) -> None:
     write_table(stats.select("latitude", "longitude", "nights", "detections"), path)
 
 
+def write_importance(importance: DataFrame | None, path: str) -> None:
+    """The importance of each feature of the leak control, greatest first; nothing if there was too little to measure."""
+    if importance is not None:
+        write_table(importance, path)
+
+
+def write_industry(footprints: DataFrame, path: str) -> None:
+    write_table(footprints.select(*FOOTPRINTS.fieldNames()), path)
+
+
+def write_plants(plants: DataFrame, path: str) -> None:
+    write_table(plants, path)
+
+
+def write_ground(cells: DataFrame, path: str) -> None:
+    """Land-cover codes at cells' places."""
+    write_table(cells.select("latitude", "longitude", "landcover_code", "landcover"), path)
+
+
 def write_model(fitted: Fitted, path: str) -> None:
     fitted.pipeline.write().overwrite().save(path)
 

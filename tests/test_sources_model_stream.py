@@ -29,6 +29,42 @@ def test_detections_of_two_dialects(spark, tmp_path):
         pass
 
 
+def test_headers_take_no_job_and_no_rows_are_no_error(spark, tmp_path):
+    import gzip
+
+    for i in range(30):
+        (tmp_path / f"f{i}.csv").write_text(f"latitude,longitude,acq_date{',frp' if i % 2 else ''}\n20.{i},75,2025-01-01{',3' if i % 2 else ''}\n")
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as f:
+        f.write("latitude,longitude,acq_date\n21,75,2025-01-01\n")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    df = readers.read_detections(spark, f"{tmp_path}/*")
+    assert jobs() == before and df.count() == 31
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "a.csv").write_text("")
+    assert readers.read_detections(spark, f"{empty}/*.csv", with_file=True).count() == 0
+
+
+def test_command_line_from_raw_files_to_the_bundle(spark, tmp_path):
+    from emberline.__main__ import main
+
+    rows = [f"{20 + i % 3 / 10},{75 + i % 2 / 10},{330 + i},2025-01-{1 + i % 20:02d},n,{5 + i % 7},{'N' if i % 3 else 'D'}" for i in range(120)]
+    (tmp_path / "raw.csv").write_text("latitude,longitude,bright_ti4,acq_date,confidence,frp,daynight\n" + "\n".join(rows) + "\n")
+    (tmp_path / "osm.json").write_text(json.dumps({"elements": [{"type": "node", "id": 1, "lat": 20.0, "lon": 75.0, "tags": {"industrial": "refinery", "name": "R"}}]}))
+    (tmp_path / "plants.csv").write_text("country,name,gppd_idnr,latitude,longitude,capacity_mw,primary_fuel\nIND,a,P1,20,75,10,Coal\n")
+    main(["context", "--out", f"{tmp_path}/seeds", "--detections", f"{tmp_path}/raw.csv", "--elements", f"{tmp_path}/osm.json", "--plants", f"{tmp_path}/plants.csv"], spark)
+    main(["classify", "--detections", f"{tmp_path}/raw.csv", "--seeds", f"{tmp_path}/seeds", "--out", f"{tmp_path}/out", "--no-model"], spark)
+    manifest = json.loads((tmp_path / "out" / "manifest.json").read_text())
+    assert manifest["detections"] == 120 and manifest["sites"] == 6
+    events = readers.read_events(spark, f"{tmp_path}/out/events.csv")
+    assert events.agg(F.sum("n_detections")).first()[0] == 120 and events.where("d_industrial_hot < 1").count() >= 1
+    assert dict(events.dtypes)["start"] == "date" and events.where("wri_fuel = 'Coal'").count() == events.count()
+    (tmp_path / "page.html").write_text("<html><!--DATA--></html>")
+    main(["bundle", "--events", f"{tmp_path}/out/events.csv", "--script", f"{tmp_path}/data.js", "--template", f"{tmp_path}/page.html", "--page", f"{tmp_path}/index.html"], spark)
+    assert (tmp_path / "data.js").read_text().startswith("window.DATA = {") and "<script>" in (tmp_path / "index.html").read_text()
+
+
 def test_plants_cells_landcover(spark, tmp_path):
     (tmp_path / "p.csv").write_text("country,name,latitude,longitude,capacity_mw,primary_fuel,other\nIND,a,20,75,10,Coal,x\nUSA,b,20,75,10,Gas,x\nIND,c,,75,10,Gas,x\n")
     got = readers.read_plants(spark, f"{tmp_path}/p.csv")

@@ -46,6 +46,35 @@ def test_far_centroid_of_a_big_box_is_not_seen(spark, most):
     assert r.d_mining == pytest.approx(0.01 * M_PER_DEG)
 
 
+def test_buckets_with_many_boxes(spark):
+    """Far more boxes than go to the executors, one category with few: exact, and no plan that grows with the rounds."""
+    rng = np.random.default_rng(8)
+    lat, lon = rng.uniform(10, 30, 50_000), rng.uniform(70, 90, 50_000)
+    boxes = [box(i, "mining", float(a), float(b)) for i, (a, b) in enumerate(zip(lat, lon))] + [box(90_000, "kiln", 29.0, 89.0)]
+    points = [(float(a), float(b)) for a, b in rng.uniform((8, 68), (32, 92), (60, 2))]
+    got = s.nearest_boxes(sites(spark, points), spark.createDataFrame(boxes, BOXES), ["mining", "kiln"], ["mining"])
+    rows = {r.cell_lat: r for r in got.collect()}
+    for i, (la, lo) in enumerate(points):
+        far = np.hypot((la - lat) * M_PER_DEG, (lo - lon) * M_LON)
+        assert rows[i].d_mining == pytest.approx(far.min(), abs=1e-6) and rows[i].name_mining == f"n{far.argmin()}"
+        assert rows[i].d_kiln == pytest.approx(np.hypot((la - 29) * M_PER_DEG, (lo - 89) * M_LON), abs=1e-6)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 3
+
+
+def test_rings_are_rounded_and_small_ones_go(spark):
+    ring = lambda size, by=0.0001: [{"lon": a * size + by, "lat": b * size + by} for a, b in ((0, 0), (0.5, 0.00001), (1, 0), (1, 1), (0, 1), (0, 0))]
+    df = spark.createDataFrame([([ring(0.001), ring(1.0), ring(2.0)],)], "rings array<array<struct<lon:double,lat:double>>>")
+    kept = df.select(x.kept_rings(F.col("rings"), 0.01, 2).alias("r")).first().r
+    assert [len(r) for r in kept] == [6, 6] and kept[0][3] == (2.0, 2.0) and kept[1][3] == (1.0, 1.0)
+    flat = df.select(x.rounded_ring(F.col("rings")[0], 1).alias("r")).first().r
+    assert flat is None
+
+
+def test_local_time(spark):
+    r = spark.sql("SELECT TIMESTAMP '2025-01-01 20:45:00' AS t").select(x.local_time(F.col("t")).cast("string").alias("t")).first()
+    assert r.t == "2025-01-02 02:15:00"
+
+
 def test_box_distance(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 1.0), (3.0, 1.0), (3.0, 4.0)], "a double, b double")
     got = [r.d for r in df.select(x.box_metres("a", "b", F.lit(0.0), F.lit(0.0), F.lit(2.0), F.lit(2.0)).alias("d")).collect()]
