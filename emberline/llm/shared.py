@@ -1,10 +1,7 @@
-"""What the operators of this subpackage share: shared-folder tables, Arrow maps, byte classes."""
+"""What the operators of this subpackage share: numbered tables, Arrow maps, byte classes."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -14,41 +11,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..shipping import ship
+from ..tables import materialise, new_path
 
 #: Rows and bytes of one Arrow batch at most, so that a batch of long texts fits in a worker.
 BATCH_ROWS, BATCH_BYTES = 256, 32 << 20
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary folder if all
-    executors are threads of the driver (local mode), else an error: a machine's own folder wouldn't be shared."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="emberline-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and read again: its lineage is cut, a lost executor costs nothing.
-
-    The files go when the application ends.
-    """
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    """A path of the shared folder that nothing is at; what will be there goes when the application ends."""
-    path = f"{work_dir(spark)}/emberline/{label}-{uuid.uuid4().hex}"
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return path
-
-
 #: Bits of a row's number within its task, below the task's number (monotonically_increasing_id).
 TASK_BITS = 33
 
