@@ -26,6 +26,8 @@ from .words import Splitter, bounded, byte_chars
 
 #: Entries of a worker's caches of pre-tokens and of pairs, and the longest pre-token that is kept.
 CACHE, PAIRS, CACHED_CHARS = 200_000, 200_000, 64
+#: Bytes of texts that are encoded and decoded together (one text at least).
+AT_ONCE = 4 << 20
 #: Added to a character's code where it ends a word.
 END = 0x1000
 
@@ -189,7 +191,7 @@ def round_trip(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Data
         ids = ids_of(texts, vocabulary)
         return [ids, texts_of(ids, vocabulary)]
 
-    return appended(docs, text_col, [("ids", "array<int>", pa.list_(pa.int32())), ("decoded", "string", pa.string())], fn, keep=False)
+    return appended(docs, text_col, [("ids", "array<int>", pa.list_(pa.int32())), ("decoded", "string", pa.string())], fn, keep=False, at_once=AT_ONCE)
 
 
 def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -29,6 +29,8 @@ from .shared import appended, arrow_map, quoted
 ROWS, CHARS, CHAINS = 150, 200_000, 16
 #: Words that show that a passage is shared between languages.
 SHINGLE = 3
+#: Bytes of texts whose words a worker holds together (one text at least).
+AT_ONCE = 2 << 20
 #: Segments of texts that are worked on together (a text's always are).
 TOGETHER = 2048
 #: Words of a chain of the fit and of a segment of a text, hashed n-gram features, lengths of n-grams, steps of the fit,
@@ -318,7 +320,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_col: st
     def fn(texts: pa.Array) -> list:
         return list(tagger_of(shared.value).languages(texts.to_pylist()))
 
-    return appended(docs, text_col, [(lang_col, "string", pa.string()), (score_col, "double", pa.float64())], fn)
+    return appended(docs, text_col, [(lang_col, "string", pa.string()), (score_col, "double", pa.float64())], fn, at_once=AT_ONCE)
 
 
 def tag_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

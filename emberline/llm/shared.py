@@ -14,7 +14,7 @@ from ..shipping import ship
 from ..tables import materialise, new_path
 
 #: Rows and bytes of one Arrow batch at most, so that a batch of long texts fits in a worker.
-BATCH_ROWS, BATCH_BYTES = 256, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
 #: Bits of a row's number within its task, below the task's number (monotonically_increasing_id).
