@@ -69,7 +69,8 @@ def test_every_vocabulary_entry(library, encoder):
 def test_pieces_cover_the_text(library):
     splitter = Splitter(PATH)
     for text in ODD:
-        count = sum(1 if isinstance(p, int) else len(library.encode(p, add_special_tokens=False).ids) for p in splitter.pieces(text))
+        # pieces are normalised: the library's encode would do it again and put marks in another order
+        count = sum(1 if isinstance(p, int) else splitter.tokens_of(p) for p in splitter.pieces(text))
         assert count == len(library.encode(text, add_special_tokens=False).ids)
 
 
