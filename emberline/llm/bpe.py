@@ -21,8 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import appended
-from .words import Splitter, bounded, byte_chars
+from .shared import appended, resident
+from .words import Splitter, bounded, byte_chars, spec_of
 
 #: Entries of a worker's caches of pre-tokens and of pairs, and the longest pre-token that is kept.
 CACHE, PAIRS, CACHED_CHARS = 200_000, 200_000, 64
@@ -38,31 +38,29 @@ class Encoder(dict):
     def __init__(self, path: str):
         super().__init__()
         self.splitter = Splitter(path)
-        model = self.splitter.model
+        model = spec_of(path)["model"]
         suffix = model.get("end_of_word_suffix") or ""
-        self.vocab, self.chars = model["vocab"], byte_chars()
+        self.vocab = vocab = model["vocab"]
+        self.chars = byte_chars()
         ends = lambda t: bool(suffix) and t.endswith(suffix) and len(t) > len(suffix)
-        self.marked = {t: t[: -len(suffix) - 1] + chr(ord(t[-len(suffix) - 1]) + END) if ends(t) else t for t in self.vocab}
+        marked = {t: t[: -len(suffix) - 1] + chr(ord(t[-len(suffix) - 1]) + END) if ends(t) else t for t in vocab}
         self.has_end = bool(suffix)
         self.parts: dict[int, tuple[int, int, int]] = {}  # token: rank of the merge that makes it, left, right
         self.rank: dict[tuple[int, int], int] = {}
         for r, (a, b) in enumerate(model["merges"]):
-            ia, ib = self.vocab[a], self.vocab[b]
-            made = self.vocab[(a[: -len(suffix)] if suffix and a.endswith(suffix) and len(a) > len(suffix) else a) + b]
+            ia, ib = vocab[a], vocab[b]
+            made = vocab[(a[: -len(suffix)] if suffix and a.endswith(suffix) and len(a) > len(suffix) else a) + b]
             self.rank[ia, ib] = r
             self.parts.setdefault(made, (r, ia, ib))
-        self.single = {m: self.vocab[t] for t, m in self.marked.items() if len(m) == 1}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
-        self.length = {}
-        for t, m in self.marked.items():
-            i = self.vocab[t]
-            self.length[i] = len(m)
+        self.length = {vocab[t]: len(m) for t, m in marked.items()}
         self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
-        for t, m in self.marked.items():
-            if self.reachable(i := self.vocab[t]):  # entries that the merges never make end no prefix
+        for t, m in marked.items():
+            if self.reachable(i := vocab[t]):  # entries that the merges never make end no prefix
                 self.automaton.add_word(m, (i, len(m)))
         self.automaton.make_automaton()
+        self.whole.clear()
 
     def border(self, a: int, b: int) -> bool:
         """Whether a and b fit: no merge across their border comes before the merges that make them."""
@@ -139,17 +137,16 @@ class Encoder(dict):
         return list(chain.from_iterable(map(self.__getitem__, self.splitter.pieces(text))))
 
 
-@lru_cache(1)
 def encoder_of(path: str) -> Encoder:
     """A worker's encoder; it and its cache serve all tasks of the worker."""
-    return Encoder(path)
+    return resident(Encoder, path)
 
 
 @lru_cache(1)
 def tokens_of(path: str) -> pa.Array:
     """The tokens by id."""
-    splitter = Splitter(path)
-    by_id = {i: t for t, i in (splitter.model["vocab"] | splitter.special).items()}
+    spec = spec_of(path)
+    by_id = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
     return pa.array([by_id.get(i, "") for i in range(max(by_id) + 1)], pa.string())
 
 

@@ -17,13 +17,12 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import appended, arrow_map, quoted
+from .shared import appended, arrow_map, quoted, resident
 
 #: The bound of the training sample: labelled rows of each language, characters of a row, chains taken from a row.
 ROWS, CHARS, CHAINS = 150, 200_000, 16
@@ -31,8 +30,8 @@ ROWS, CHARS, CHAINS = 150, 200_000, 16
 SHINGLE = 3
 #: Bytes of texts whose words a worker holds together (one text at least).
 AT_ONCE = 2 << 20
-#: Segments of texts that are worked on together (a text's always are).
-TOGETHER = 2048
+#: Segments of texts that are worked on together (a text's always are), and new words.
+TOGETHER, AT_A_TIME = 2048, 5_000
 #: Words of a chain of the fit and of a segment of a text, hashed n-gram features, lengths of n-grams, steps of the fit,
 #: words in a worker's cache.
 CHAIN, BUCKETS, GRAMS, STEPS, CACHE = 64, 1 << 17, (1, 2, 3, 4), 25, 150_000
@@ -239,8 +238,8 @@ class Tagger:
             rows.update(zip(fresh, range(at, at + len(fresh))))
             while len(rows) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            for i in range(0, len(fresh), 20_000):
-                self.table[at + i : at + min(i + 20_000, len(fresh))] = self.model.emissions(fresh[i : i + 20_000])
+            for i in range(0, len(fresh), AT_A_TIME):
+                self.table[at + i : at + min(i + AT_A_TIME, len(fresh))] = self.model.emissions(fresh[i : i + AT_A_TIME])
         return np.fromiter(map(rows.__getitem__, own), np.int64, len(own))
 
     def marginals(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -282,10 +281,9 @@ class Tagger:
         return [self.model.labels[j] if c else UNKNOWN for j, c in zip(best, n)], [float(min(1.0, max(0.0, m[j]))) if c else 0.0 for m, j, c in zip(mean, best, n)]
 
 
-@lru_cache(1)
 def tagger_of(model: Model) -> Tagger:
     """A worker's tagger of a broadcast model; it and its cache serve all tasks of the worker, until another model comes."""
-    return Tagger(model)
+    return resident(Tagger, model)
 
 
 def held_out(id_col: Column) -> Column:

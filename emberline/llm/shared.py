@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -59,14 +61,42 @@ def told(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
     return both.select(*[quoted(c) for c in rows.columns], own.alias(name))
 
 
+_RESIDENT: dict = {}
+
+
+def resident(make: Callable, *key):
+    """make(*key), kept for the worker's later tasks. A worker keeps one such object: before another is made, the one of
+    an earlier stage is freed and its memory goes back to the system, as workers serve all stages of an application."""
+    name = (make, *key)
+    found = _RESIDENT.get(name)
+    if found is None:
+        _RESIDENT.clear()
+        gc.collect()
+        trim()
+        found = _RESIDENT[name] = make(*key)
+    return found
+
+
+def trim() -> None:
+    """Gives memory that this process has freed back to the system (where the C library has a call for that)."""
+    pa.default_memory_pool().release_unused()
+    if give_back := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        give_back(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with batches of bounded rows and bytes."""
+    """mapInArrow with batches of bounded rows and bytes; a worker between tasks holds no memory that it has freed."""
     ship(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        trim()
+
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
 
 
 def appended(df: DataFrame, column: str, out: list[tuple[str, str, pa.DataType]], fn: Callable[[pa.Array], list], keep: bool = True, at_once: int | None = None) -> DataFrame:

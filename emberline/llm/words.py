@@ -51,6 +51,12 @@ def byte_chars() -> list[str]:
     return [table[b] for b in range(256)]
 
 
+def spec_of(path: str) -> dict:
+    """What the file says."""
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
 class Splitter:
     """Cuts texts into pre-tokens (str) and special tokens (int ids)."""
 
@@ -58,10 +64,7 @@ class Splitter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.model = spec["model"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = {t["content"]: t["id"] for t in spec_of(path)["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.find = pattern().findall
         self.library, self.to_chars = self.tokenizer.model, byte_chars()
