@@ -491,7 +491,9 @@ def model_score(spark, sf_dir):
 def model_holdout(spark, sf_dir):
     e = materialise(g.star(spark, sf_dir), "star")
     kinds = (("site", m.site_holdout(e)), ("time", m.time_holdout(e)), ("leak_control", m.leak_control(e)))
-    return s.union_all([r.withColumn("split", F.lit(n)) for n, r in kinds if r is not None])
+    # a split with fewer than two labels to learn from has no model, so nothing to report
+    none = spark.createDataFrame([], f"{m.REPORT}, split string")
+    return s.union_all([none, *[r.withColumn("split", F.lit(n)) for n, r in kinds if r is not None]])
 
 
 @query()

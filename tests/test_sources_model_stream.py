@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -147,6 +148,21 @@ def test_report_figures(spark):
     assert (got["a"].precision, got["a"].recall, got["b"].precision, got["b"].support) == (1.0, 0.5, 0.5, 1)
 
 
+def one_label(spark, path, days=200):
+    """Tables of one site that burns on every fifth of so many days, each an episode: a flare, or nothing at all."""
+    at = spark.range(days).withColumn("day", F.expr("date_add(DATE'1995-01-01', CAST(id * 5 AS INT))"))
+    at.selectExpr("id * 9 AS l_orderkey", "0L AS l_partkey", "4L AS l_suppkey", "1 AS l_linenumber", "CAST(id % 40 AS DOUBLE) AS l_quantity", "0.05D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", "CAST(day AS TIMESTAMP_NTZ) AS l_shipdate").write.parquet(f"{path}/lineitem.parquet")
+    spark.read.parquet(f"{SMALL}/supplier.parquet").write.parquet(f"{path}/supplier.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("days", [200, 0])
+def test_holdout_report_without_two_labels(spark, tmp_path, days):
+    got = entry.queries()["model_holdout"](spark, one_label(spark, tmp_path, days))
+    like = m.report(spark.createDataFrame([("a", "a")], "label string, model_class string"))
+    assert got.dtypes == [*like.dtypes, ("split", "string")] and got.count() == 0
+
+
 def test_episode_stream(spark, tmp_path):
     day = lambda n: dt.date(2025, 1, 1) + dt.timedelta(days=n)
     schema = "latitude double, longitude double, acq_date date, frp double"
