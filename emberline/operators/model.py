@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..schema import BURN_FEATURES, PLACE_FEATURES
 from .detections import EPISODE
 
-#: Columns of a report, for where there is no model.
+#: Columns of a report and of the importances, for where there is no model.
 REPORT = "class string, support long, precision double, recall double, f1 double"
+IMPORTANCE = "feature string, importance double"
 
 
 @dataclass

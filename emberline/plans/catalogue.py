@@ -498,7 +498,8 @@ def model_holdout(spark, sf_dir):
 
 @query()
 def model_importance(spark, sf_dir):
-    return m.importance(materialise(g.star(spark, sf_dir), "star"))
+    lost = m.importance(materialise(g.star(spark, sf_dir), "star"))
+    return spark.createDataFrame([], m.IMPORTANCE) if lost is None else lost
 
 
 @query()

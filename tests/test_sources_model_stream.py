@@ -163,6 +163,12 @@ def test_holdout_report_without_two_labels(spark, tmp_path, days):
     assert got.dtypes == [*like.dtypes, ("split", "string")] and got.count() == 0
 
 
+@pytest.mark.parametrize("days", [200, 0])
+def test_importance_without_two_labels(spark, tmp_path, days):
+    got = entry.queries()["model_importance"](spark, one_label(spark, tmp_path, days))
+    assert got.dtypes == [("feature", "string"), ("importance", "double")] and got.count() == 0
+
+
 def test_episode_stream(spark, tmp_path):
     day = lambda n: dt.date(2025, 1, 1) + dt.timedelta(days=n)
     schema = "latitude double, longitude double, acq_date date, frp double"
