@@ -169,6 +169,16 @@ def test_importance_without_two_labels(spark, tmp_path, days):
     assert got.dtypes == [("feature", "string"), ("importance", "double")] and got.count() == 0
 
 
+@pytest.mark.parametrize("days", [200, 0])
+def test_rules_alone_score_without_two_labels(spark, tmp_path, days):
+    got = entry.queries()["model_score"](spark, one_label(spark, tmp_path, days))
+    kinds = ["int", "int", "int", "string", "string", "double", "string", "boolean", "boolean", "string"]
+    assert [t for _, t in got.dtypes] == kinds and got.columns[-6:] == ["model_class", "model_confidence", "final_class", "model_agrees", "needs_review", "review_reason"]
+    rows = got.orderBy("episode_seq").collect()
+    assert [r.episode_seq for r in rows] == list(range(days))
+    assert {tuple(r)[3:] for r in rows} <= {("gas_flare", None, None, "gas_flare", None, False, "")}
+
+
 def test_episode_stream(spark, tmp_path):
     day = lambda n: dt.date(2025, 1, 1) + dt.timedelta(days=n)
     schema = "latitude double, longitude double, acq_date date, frp double"
