@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.columns import landcover_name
 from ..operators import detections as d, spatial as s, verdict as v
 from ..schema import CATEGORIES, CLASSES
+from ..tables import materialise
 
 #: Of a line item: a detection.
 DETECTION = {
@@ -121,7 +122,19 @@ def sites(spark: SparkSession, sf_dir: str, det: DataFrame | None = None) -> Dat
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Episodes with their sites' context, label and rule."""
     det = detections(spark, sf_dir)
-    e = d.episode_features(det).join(sites(spark, sf_dir, det).drop("latitude", "longitude"), d.SITE, "left")
+    return starred(d.episode_features(det), sites(spark, sf_dir, det))
+
+
+def written_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star as a table. Sites and episodes are written before they are joined: in one stage a task would sort its
+    share of the detections for both at once, which doesn't fit an executor's memory when there are many."""
+    det = detections(spark, sf_dir)
+    context = materialise(sites(spark, sf_dir, det), "sites")
+    return materialise(starred(materialise(d.episode_features(det), "episodes"), context), "star")
+
+
+def starred(episodes: DataFrame, context: DataFrame) -> DataFrame:
+    e = episodes.join(context.drop("latitude", "longitude"), d.SITE, "left")
     return v.with_rules(e.withColumn("label", v.weak_label()))
 
 

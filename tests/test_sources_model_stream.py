@@ -143,6 +143,15 @@ def test_model(spark):
     assert leak > honest
 
 
+def test_written_star_is_the_star(spark):
+    whole, written = v.slim(g.star(spark, SMALL)), v.slim(g.written_star(spark, SMALL))
+    assert written.dtypes == whole.dtypes and written.count() == whole.count() > 0
+    assert written.exceptAll(whole).count() == 0
+    # a task that makes the last table has no detections to sort
+    plan = g.written_star(spark, SMALL)._jdf.queryExecution().toString()
+    assert "lineitem" not in plan and "Window" not in plan
+
+
 def test_report_figures(spark):
     got = {r["class"]: r for r in m.report(spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), (None, "a")], "label string, model_class string")).collect()}
     assert (got["a"].precision, got["a"].recall, got["b"].precision, got["b"].support) == (1.0, 0.5, 0.5, 1)
