@@ -17,11 +17,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schema import BURN_FEATURES, PLACE_FEATURES
+from ..tables import materialise
 from .detections import EPISODE
 
 #: Columns of a report and of the importances, for where there is no model.
 REPORT = "class string, support long, precision double, recall double, f1 double"
 IMPORTANCE = "feature string, importance double"
+#: Leaves 12 of a hash's 64 bits: 4,096 ranges.
+RANGE_SHIFT = 52
 
 
 @dataclass
@@ -126,25 +129,37 @@ def time_holdout(df: DataFrame, days: int = 30, least_train: int = 100, least_te
     return report(score(new, fitted)) if fitted else None
 
 
-def importance(df: DataFrame, rows: int = 4000, repeats: int = 3) -> DataFrame | None:
-    """Mean loss of accuracy on held-out rows when a feature's values are dealt anew among them.
+def numbered(df: DataFrame, seed: int) -> DataFrame:
+    """Episodes with at: 1, 2, 3 and so on in the order of a seeded hash. Rows are counted inside ranges of the hash, so no
+    task has them all; only the ranges' sizes meet."""
+    df = df.withColumn("hash", F.xxhash64(F.lit(seed), *EPISODE)).withColumn("range", F.shiftright("hash", RANGE_SHIFT))
+    size = df.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    before = size.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy("hash", *EPISODE))
+    return df.withColumn("inside", inside).join(F.broadcast(before), "range").withColumn("at", F.col("before") + F.col("inside")).drop("hash", "range", "before", "inside")
 
-    The rows (a capped sample by hash order) get a position; a feature is shuffled by a join on shifted positions.
-    """
+
+def variants(held: DataFrame, names: Sequence[str], repeats: int) -> DataFrame:
+    """Every row of held for each feature and repeat, with that feature's value of another row: the row at the same place in
+    another order. The feature "" has the rows as they are, once."""
+    others = [numbered(held, i).select(F.lit(i).alias("turn"), "at", F.struct(*names).alias("other")) for i in range(1, repeats + 1)]
+    dealt = numbered(held, 0).join(reduce(DataFrame.unionByName, others), "at")
+    each = [F.lit(n) for n in names]
+    out = dealt.withColumn("feature", F.explode(F.when(F.col("turn") == 1, F.array(F.lit(""), *each)).otherwise(F.array(*each))))
+    return out.withColumns({n: F.when(F.col("feature") == n, F.col("other")[n]).otherwise(F.col(n)) for n in names})
+
+
+def importance(df: DataFrame, repeats: int = 3) -> DataFrame | None:
+    """Mean loss of accuracy on all held-out rows when a feature's values are dealt anew among them."""
     split = holdout(df).where("label IS NOT NULL")
     fitted = fit(split.where("NOT is_test"), BURN_FEATURES)
     if not fitted:
         return None
-    sample = split.where("is_test").orderBy(F.xxhash64(F.lit(0), *EPISODE)).limit(rows)
-    place = lambda seed: F.row_number().over(Window.orderBy(F.xxhash64(F.lit(seed), *EPISODE)))
-    sample = sample.withColumns({"at": place(0)} | {f"at{i}": place(i) for i in range(1, repeats + 1)}).cache()
     names = fitted.features
-    other = [sample.select(F.lit(i).alias("turn"), F.col(f"at{i}").alias("at"), F.struct(*names).alias("other")) for i in range(1, repeats + 1)]
-    dealt = reduce(DataFrame.unionByName, other)
-    # every feature's variants are scored in one job; the variant "" is the sample as it is
-    variants = sample.join(dealt, "at").withColumn("feature", F.explode(F.array(*[F.lit(n) for n in ["", *names]])))
-    variants = variants.withColumns({n: F.when(F.col("feature") == n, F.col("other")[n]).otherwise(F.col(n)) for n in names})
-    hits = score(variants, fitted).groupBy("feature").agg(F.avg((F.col("label") == F.col("model_class")).cast("double")).alias("accuracy"))
-    base = hits.where("feature = ''").select(F.col("accuracy").alias("base"))
-    lost = hits.where("feature <> ''").crossJoin(F.broadcast(base))
+    held = materialise(split.where("is_test").select(*EPISODE, "label", *names), "held-out")
+    # every feature's variants are scored in one job
+    hits = score(variants(held, names, repeats), fitted).groupBy("feature").agg(F.avg((F.col("label") == F.col("model_class")).cast("double")).alias("accuracy"))
+    # beside each other in a window of these few rows: two filters would make the variants twice
+    base = F.max(F.when(F.col("feature") == "", F.col("accuracy"))).over(Window.partitionBy(F.lit(0)))
+    lost = hits.withColumn("base", base).where("feature <> ''")
     return lost.select("feature", (F.col("base") - F.col("accuracy")).alias("importance")).orderBy(F.desc("importance"), "feature")

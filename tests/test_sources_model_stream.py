@@ -178,6 +178,39 @@ def test_importance_without_two_labels(spark, tmp_path, days):
     assert got.dtypes == [("feature", "string"), ("importance", "double")] and got.count() == 0
 
 
+def test_importance_takes_all_held_out_rows(spark, monkeypatch):
+    row = {n: "CAST(NULL AS DOUBLE)" for n in m.BURN_FEATURES} | {"frp_max": "CAST(id % 97 AS DOUBLE)", "month": "CAST(id % 11 AS INT)"}
+    e = spark.range(24000).selectExpr("CAST(id % 300 AS INT) AS cell_lat", "7 AS cell_lon", "CAST(id DIV 300 AS INT) AS episode_seq", "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 97 < 40 THEN 'a' ELSE 'b' END AS label", *[f"{x} AS {n}" for n, x in row.items()])
+    held = [(*r[:3], r.frp_max, r.month) for r in m.holdout(e).where("is_test AND label IS NOT NULL").select(*d.EPISODE, "frp_max", "month").collect()]
+    assert len(held) > 4000
+    seen, plain = [], m.score
+    monkeypatch.setattr(m, "score", lambda df, fitted: seen.append(df) or plain(df, fitted))
+    got = {r.feature: r.importance for r in m.importance(e).collect()}
+    rows = seen[0].select("feature", "turn", *d.EPISODE, "frp_max", "month").collect()
+    # the label is a threshold of frp_max: dealt anew, a row is right if it and the other are on the same side
+    same, total = 0, 0
+    assert sorted(r[2:] for r in rows if not r.feature) == sorted(held)
+    for turn in (1, 2, 3):
+        for feature, at in (("frp_max", 3), ("month", 4)):
+            mine = [r[2:] for r in rows if (r.feature, r.turn) == (feature, turn)]
+            own = {r[:3]: r for r in held}
+            assert sorted(r[:3] for r in mine) == sorted(own) and sorted(r[at] for r in mine) == sorted(r[at] for r in held)
+            assert all(r[7 - at] == own[r[:3]][7 - at] for r in mine)
+            assert sum(r[at] != own[r[:3]][at] for r in mine) > len(held) / 2
+            if feature == "frp_max":
+                same, total = same + sum((r[at] < 40) == (own[r[:3]][at] < 40) for r in mine), total + len(mine)
+    assert got == {"frp_max": pytest.approx(1 - same / total, abs=1e-12), "month": 0.0}
+
+
+def test_numbering_is_whole_and_dealt_over_tasks(spark):
+    e = spark.range(5000).selectExpr("CAST(id % 70 AS INT) AS cell_lat", "CAST(id % 3 AS INT) AS cell_lon", "CAST(id AS INT) AS episode_seq")
+    got = m.numbered(e, 1)
+    want = [tuple(r) for r in e.orderBy(F.xxhash64(F.lit(1), *d.EPISODE), *d.EPISODE).collect()]
+    assert [tuple(r) for r in got.orderBy("at").select(*d.EPISODE).collect()] == want
+    assert sorted(r.at for r in got.collect()) == list(range(1, 5001))
+    assert m.numbered(e.limit(0), 1).count() == 0
+
+
 @pytest.mark.parametrize("days", [200, 0])
 def test_rules_alone_score_without_two_labels(spark, tmp_path, days):
     got = entry.queries()["model_score"](spark, one_label(spark, tmp_path, days))
